@@ -16,8 +16,8 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
     """``node, component`` for edges ``src, dst``; a component is named by its smallest node.
 
     Every round takes the smallest label among the neighbours and then follows labels
-    to their own label, so distances shrink geometrically. Each round is checkpointed, which
-    keeps the plan short and survives lost executors. Runs jobs; fails if it does not converge.
+    to their own label, so distances shrink geometrically. Each round is written to the
+    shared folder, which keeps the plan short and survives lost executors. Runs jobs; fails if it does not converge.
     """
     both = edges.select("src", "dst").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from speechlake.functions.text import collapse_ws, is_blank
 from speechlake.operators.align import UNIT_BLOCK
 from speechlake.operators.blocks import attach_carry, block_order, running_sum
+from speechlake.operators.checkpoints import settle
 
 TURN_BLOCK = 4096
 
@@ -112,7 +113,8 @@ def build_turns(
 
     Blank units are dropped before anything else. A turn ends at a speaker change or when the
     next unit starts more than ``max_gap`` after the latest end so far. Units are ordered by
-    ``seq``, not by time.
+    ``seq``, not by time. Runs a job: stretches are written once to the shared folder, and the
+    passes that stitch them read only their times.
     """
     time_type = dict(aligned.dtypes)["end"]
     if "seq_block" not in aligned.columns:
@@ -136,16 +138,20 @@ def build_turns(
             F.col("_units")[0]["seq"].alias("seq"), F.col("_units")[0]["start"].alias("start"),
         )
     )
-    # Stitch stretches that continue over a block border.
-    stretches = stretches.withColumn(
-        "_wide_block", F.floor(F.col("seq") / F.lit(block_rows * WIDE))
-    ).repartition("audio_key", "_wide_block")
-    stretches = _across_blocks(_inside_block(stretches, "_wide_block"), "_wide_block")
-    stretches = running_sum(
-        stretches, ["audio_key"], ["seq"], _is_break(max_gap).cast("bigint"), "_turn", "_wide_block"
+    stretches = settle(stretches)
+    # Stitch stretches that continue over a block border; only times and speakers take part.
+    outline = (
+        stretches.select("audio_key", "seq", "start", "end", "speaker")
+        .withColumn("_wide_block", F.floor(F.col("seq") / F.lit(block_rows * WIDE)))
+        .repartition("audio_key", "_wide_block")
     )
+    outline = _across_blocks(_inside_block(outline, "_wide_block"), "_wide_block")
+    outline = running_sum(
+        outline, ["audio_key"], ["seq"], _is_break(max_gap).cast("bigint"), "_turn", "_wide_block"
+    ).select("audio_key", "seq", "_turn")
     turns = (
-        stretches.withColumn("_turn_block", F.floor(F.col("_turn") / F.lit(turn_block)))
+        stretches.join(outline, ["audio_key", "seq"])
+        .withColumn("_turn_block", F.floor(F.col("_turn") / F.lit(turn_block)))
         .repartition("audio_key", "_turn_block")
         .groupBy("audio_key", "_turn_block", "_turn", "speaker")
         .agg(

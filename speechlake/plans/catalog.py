@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from speechlake.plans import repeats
+from speechlake.plans import repeats, speech
 
-MODULES = (repeats,)
+MODULES = (speech, repeats)
 
 
 def queries():

@@ -150,3 +150,61 @@ def grams_sql(table_name: str, key: str) -> str:
     return f"""(SELECT item, i AS t, array_to_string(w[i + 1:i + {GRAM}], ' ') AS hash
   FROM (SELECT item, w, unnest(range(len(w) - {GRAM - 1})) AS i
         FROM (SELECT {key} AS item, {TOKENS} AS w FROM {table_name})))"""
+
+SPACE_SQL = (
+    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
+
+
+def collapse_sql(expr: str) -> str:
+    return f"trim(regexp_replace({expr}, '{SPACE_SQL}+', ' ', 'g'))"
+
+
+def clock_sql(total: str, unit: int) -> str:
+    return (f"(printf('%02d', ({total}) // {3600 * unit}) || ':' || "
+            f"printf('%02d', (({total}) // {60 * unit}) % 60) || ':' || "
+            f"printf('%02d', (({total}) // {unit}) % 60))")
+
+
+def srt_sql(ms: str, mark: str = ",") -> str:
+    return f"({clock_sql(ms, 1000)} || '{mark}' || printf('%03d', ({ms}) % 1000))"
+
+
+def talk_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A segment per conversation turn, in seconds; some blank, some ending before they start."""
+    c = spread(table(spark, sf_dir, "conversations"))
+    start = F.col("turn") * TURN_MS
+    backward = (F.col("conv_id") % 13 == 0) & (F.col("turn") == 1)
+    end = F.when(backward, start - 1000).otherwise(start + F.size(_tokens("text")) * 400 + 250)
+    return c.select(
+        F.col("conv_id").alias("audio_key"), F.col("turn").alias("segment_pos"),
+        (start / 1000.0).alias("start"), (end / 1000.0).alias("end"),
+        F.when((F.col("conv_id") + F.col("turn")) % 6 == 0, F.lit(" \t"))
+        .otherwise(F.col("text")).alias("text"),
+        (F.col("conv_id") % 19 != 0).alias("has_words"),
+        F.size(_tokens("text")).alias("n_tokens"),
+    )
+
+
+def in_seconds(df: DataFrame) -> DataFrame:
+    return df.withColumn("start", F.col("start") / 1000.0).withColumn("end", F.col("end") / 1000.0)
+
+
+def talk_segment_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of :func:`talk_segments` with the times of their segment."""
+    heads = talk_segments(spark, sf_dir).where("has_words").select(
+        "audio_key", F.col("segment_pos").alias("turn"),
+        F.col("start").alias("segment_start"), F.col("end").alias("segment_end"),
+    )
+    words = in_seconds(talk_units(spark, sf_dir, ("turn",)))
+    return words.join(heads, ["audio_key", "turn"]).withColumnRenamed("turn", "segment_pos")
+
+
+SEGMENTS_SQL = f"""
+segs AS (
+  SELECT conv_id AS audio_key, turn AS segment_pos, turn * 20000 AS s_ms,
+         CASE WHEN conv_id % 13 = 0 AND turn = 1 THEN turn * 20000 - 1000
+              ELSE turn * 20000 + len({TOKENS}) * 400 + 250 END AS e_ms,
+         CASE WHEN (conv_id + turn) % 6 = 0 THEN ' \t' ELSE text END AS text,
+         conv_id % 19 <> 0 AS has_words
+  FROM conversations)"""
