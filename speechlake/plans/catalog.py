@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from speechlake.plans import repeats, speech
+from speechlake.plans import audits, repeats, speech
 
-MODULES = (speech, repeats)
+MODULES = (speech, repeats, audits)
 
 
 def queries():
