@@ -17,10 +17,11 @@ AUDIO_SUFFIXES = (".aac", ".flac", ".m4a", ".mp3", ".mp4", ".ogg", ".wav", ".wma
 UNICODE_SPACE = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 # Token prefixes that are always hidden, the keys an error body is searched
-# for, and the length an error detail is cut to.
+# for, the length an error detail is cut to, and the text shown when there is none.
 TOKEN_PATTERN = r"(?:dckr_pat_|hf_|rpa_)[A-Za-z0-9_-]+"
 ERROR_KEYS = ("detail", "message", "error", "title")
 DETAIL_CHARS = 2000
+NO_REASON = "La API no devolvió un motivo."
 MASK = "***"
 
 
@@ -138,11 +139,16 @@ def redact(text: Column, secrets: Iterable[str] = (), pattern: str = TOKEN_PATTE
 def redacted_detail(
     body: Column, secrets: Iterable[str] = (), pattern: str = TOKEN_PATTERN
 ) -> Column:
-    """Reason found in an error body: redacted, taken from its JSON keys, one line, cut."""
+    """Reason found in an error body: redacted, taken from its JSON keys, one line, cut.
+
+    The first key with a value that is not empty, zero or false gives the reason, as JSON; the
+    last key counts even then. Other bodies are shown as they are.
+    """
     clean = redact(body, secrets, pattern)
-    is_object = F.trim(clean).startswith("{")
-    found = [F.get_json_object(clean, f"$.{key}") for key in ERROR_KEYS]
-    present = [F.when(value.isin("", "0", "false", "[]", "{}"), None).otherwise(value)
-               for value in found]
-    reason = F.coalesce(*[F.when(is_object, value) for value in present], clean)
-    return F.substring(collapse_ws(reason), 1, DETAIL_CHARS)
+    parsed = F.try_parse_json(clean)
+    found = [F.to_json(F.try_variant_get(parsed, f"$.{key}", "variant")) for key in ERROR_KEYS]
+    present = [F.when(value != "null", value) for value in found]
+    telling = [F.when(~value.isin('""', "0", "false", "[]", "{}"), value) for value in present]
+    reason = F.coalesce(*telling, present[-1], clean)
+    line = F.substring(collapse_ws(reason), 1, DETAIL_CHARS)
+    return F.when(line == "", F.lit(NO_REASON)).otherwise(line)

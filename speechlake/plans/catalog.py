@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from speechlake.plans import audits, repeats, speech
+from speechlake.plans import audits, operations, repeats, speech
 
-MODULES = (speech, repeats, audits)
+MODULES = (speech, repeats, audits, operations)
 
 
 def queries():
