@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from speechlake.plans import audits, operations, repeats, speech
+from speechlake.plans import audits, operations, repeats, signal, speech, streams
 
-MODULES = (speech, repeats, audits, operations)
+MODULES = (speech, repeats, audits, operations, signal, streams)
 
 
 def queries():

@@ -164,7 +164,8 @@ def findings(spark, sf):
 def polls(spark, sf):
     return table(spark, sf, "events").select(
         F.col("user_id").alias("source"), F.col("event_id").alias("seq"),
-        F.floor(F.unix_micros("ts") / 1_000_000).alias("poll_ts"), (F.col("event_type") != "purchase").alias("empty"))
+        F.expr("timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts AS timestamp_ntz))")
+        .alias("poll_ts"), (F.col("event_type") != "purchase").alias("empty"))
 
 
 def idle_windows(spark, sf):

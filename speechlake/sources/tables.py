@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from speechlake.functions.text import collapse_ws
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 # Fixed value: one line of a match report, such as
 # ``a [  1.0s- 12.5s]  <->  b [ 30.0s- 41.5s]  (57 hashes)``.
