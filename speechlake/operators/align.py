@@ -54,12 +54,14 @@ def assign_speaker(
     distance = F.when(
         centre.between(F.col("_i_start"), F.col("_i_end")), F.lit(0.0)
     ).otherwise(F.least(F.abs(centre - F.col("_i_start")), F.abs(centre - F.col("_i_end"))))
+    # Units keep a row without a partner; least and greatest would skip its nulls.
+    paired = F.col("_pos").isNotNull()
     pairs = u.join(i, near, "left").select(
         *units.columns,
         F.floor(F.col("seq") / F.lit(block_rows)).alias("seq_block"),
-        F.when(overlap > 0, F.struct(overlap.alias("v"), (-F.col("_pos")).alias("p"))).alias("_most"),
+        F.when(paired & (overlap > 0), F.struct(overlap.alias("v"), (-F.col("_pos")).alias("p"))).alias("_most"),
         F.when(
-            (distance <= tolerance) & F.col("_pos").isNotNull(),
+            paired & (distance <= tolerance),
             F.struct(distance.alias("v"), F.col("_pos").alias("p")),
         ).alias("_nearest"),
         "_i_speaker",

@@ -150,11 +150,12 @@ def find_peaks(spectrum: DataFrame, block: int = FRAME_BLOCK) -> DataFrame:
     )
     item_type = dict(spectrum.dtypes)["item_id"]
 
-    def pick(key, rows):
+    def pick(rows):
         import numpy as np
         import pandas as pd
 
         rows = rows.sort_values("frame", kind="stable")
+        item = rows["item_id"].iloc[0]
         db = np.stack([np.asarray(x) for x in rows["db"]])
         frames = rows["frame"].to_numpy()
         top = _widest(db, BINS_BEFORE, BINS_AFTER, axis=1)
@@ -162,7 +163,8 @@ def find_peaks(spectrum: DataFrame, block: int = FRAME_BLOCK) -> DataFrame:
         mine = (rows["_own"] == rows["_block"]).to_numpy()
         keep = (db == top) & (db > rows["threshold"].to_numpy()[:, None]) & mine[:, None]
         t, f = np.nonzero(keep)
-        return pd.DataFrame({"item_id": [key[0]] * len(t), "t": frames[t], "f": f})
+        found = {"item_id": np.full(len(t), item, dtype=object), "t": frames[t], "f": f}
+        return pd.DataFrame(found)
 
     return blocks.groupBy("item_id", "_block").applyInPandas(
         pick, f"item_id {item_type}, t long, f long"
