@@ -80,3 +80,11 @@ def assign_speaker(
             F.coalesce("_by_overlap", "_by_distance", F.lit(UNKNOWN)).alias("speaker"),
         )
     )
+
+
+def pair_documents(diarizations: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """Diarized recordings with their transcript where there is one; ``has_transcript`` tells."""
+    seen = transcripts.withColumn("_seen", F.lit(True))
+    return diarizations.join(seen, "audio_key", "left").withColumn(
+        "has_transcript", F.coalesce("_seen", F.lit(False))
+    ).drop("_seen")

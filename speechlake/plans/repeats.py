@@ -17,7 +17,8 @@ CELL = 8192
 
 
 def docs(spark, sf, hashed=True):
-    return grams(spark, sf, "documents", "doc_id", hashed)
+    """Landmarks of all documents, written once as a landmark table."""
+    return settle(grams(spark, sf, "documents", "doc_id", hashed))
 
 
 def landmark_votes(spark, sf):

@@ -44,7 +44,8 @@ def write_audit(rows: DataFrame, summary: DataFrame, candidates: DataFrame, path
 
 def audit_report_lines(report: DataFrame) -> DataFrame:
     """Table lines of the flagged recordings; keeps the order of the report."""
-    percent = F.format_string("%.1f%%", F.col("mean_word_probability") * 100)
+    mean = F.col("mean_word_probability")
+    percent = F.when(mean.isNotNull(), F.format_string("%.1f%%", mean * 100))
     return report.select(
         F.format_string(
             "| %s | %d | %d | %s | %s |", F.col("audio_key").cast("string"), "segments", "words",

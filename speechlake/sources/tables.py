@@ -115,8 +115,9 @@ def read_window_scores(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCORES_DDL).option("header", True).csv(path)
 
 
-def read_offers(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(OFFER_DDL).option("multiLine", True).json(path)
+def read_offers(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Offer lists: JSON arrays, or one offer per line."""
+    return spark.read.schema(OFFER_DDL).option("multiLine", multi_line).json(path)
 
 
 def read_speaker_maps(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
