@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from speechlake.functions.text import is_blank
 
-# A word's place is segment * WORDS_PER_SEGMENT + word, so ``seq`` needs no numbering pass.
-WORDS_PER_SEGMENT = 1 << 24
-
 
 def explode_segments(transcripts: DataFrame) -> DataFrame:
     """One row per segment with its 0-based position; ``words`` stays null when the key is absent."""
@@ -34,28 +31,32 @@ def explode_words(transcripts: DataFrame) -> DataFrame:
 def explode_units(transcripts: DataFrame) -> DataFrame:
     """Timed words; a segment without words but with text counts as one unit.
 
-    A single narrow pass: the alternative units are built inside the row and exploded once.
+    A single narrow pass: a transcript is one row, so its units are listed inside the row and
+    exploded once. Their place in that list is ``seq``, without gaps.
     """
-    word_units = F.transform(
-        F.filter("words", lambda w: w["start"].isNotNull() & w["end"].isNotNull()),
-        lambda w: F.struct(
+
+    def units(segment: Column) -> Column:
+        timed = F.filter(
+            segment["words"], lambda w: w["start"].isNotNull() & w["end"].isNotNull())
+        spoken = F.transform(timed, lambda w: F.struct(
             w["start"].alias("start"), w["end"].alias("end"),
             F.coalesce(w["word"], F.lit("")).alias("text"),
             w["probability"].alias("probability"),
-        ),
-    )
-    segment_unit = F.array(F.struct(
-        F.coalesce("start", F.lit(0.0)).alias("start"),
-        F.coalesce("end", F.lit(0.0)).alias("end"),
-        F.col("text").alias("text"),
-        F.lit(None).cast("double").alias("probability"),
-    ))
-    units = F.when(F.size("words") > 0, word_units).when(~is_blank(F.col("text")), segment_unit)
-    return explode_segments(transcripts).select(
-        "audio_key", "segment_pos", F.posexplode(units).alias("unit_pos", "u")
+        ))
+        whole = F.array(F.struct(
+            F.coalesce(segment["start"], F.lit(0.0)).alias("start"),
+            F.coalesce(segment["end"], F.lit(0.0)).alias("end"),
+            F.coalesce(segment["text"], F.lit("")).alias("text"),
+            F.lit(None).cast("double").alias("probability"),
+        ))
+        none = F.slice(whole, 1, 0)
+        return F.when(F.coalesce(F.size(segment["words"]), F.lit(0)) > 0, spoken).when(
+            ~is_blank(segment["text"]), whole).otherwise(none)
+
+    return transcripts.select(
+        "audio_key", F.posexplode(F.flatten(F.transform("segments", units))).alias("seq", "u")
     ).select(
-        "audio_key",
-        (F.col("segment_pos").cast("bigint") * WORDS_PER_SEGMENT + F.col("unit_pos")).alias("seq"),
+        "audio_key", F.col("seq").cast("bigint").alias("seq"),
         "u.start", "u.end", "u.text", "u.probability",
     )
 

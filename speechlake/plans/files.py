@@ -134,13 +134,16 @@ ORACLES = {
     "snk6_embeddings_file": """SELECT vec_id AS audio_key, label::VARCHAR AS label, (i - 1)::INT AS pos, embedding[i] AS x
         FROM (SELECT vec_id, label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings)""",
     "p1_nested_units": f"""WITH {corpus.UNITS_SQL},
-        timed AS (SELECT *, row_number() OVER (PARTITION BY audio_key, turn ORDER BY i) - 1 AS k FROM units WHERE i % 9 <> 4)
-        SELECT audio_key || '/' || turn AS audio_key, k AS seq, i * 0.5::DOUBLE AS start, i * 0.5::DOUBLE + 0.25 AS "end",
-          word AS text, 0.5::DOUBLE AS probability FROM timed
-        UNION ALL SELECT conv_id || '/' || turn, {1 << 24}, 7.5, 7.5, role, NULL FROM conversations
-        UNION ALL SELECT conv_id || '/' || turn, {3 << 24}, 0.0, 0.0, role, NULL FROM conversations
-        UNION ALL SELECT conv_id || '/' || turn, 0, 0.0, 0.0, text, NULL FROM conversations
-          WHERE len({corpus.TOKENS}) = 0 AND {corpus.collapse_sql('text')} <> ''""",
+        timed AS (SELECT *, row_number() OVER (PARTITION BY audio_key, turn ORDER BY i) - 1 AS k FROM units WHERE i % 9 <> 4),
+        listed AS (
+          SELECT audio_key || '/' || turn AS audio_key, 0 AS part, k, i * 0.5::DOUBLE AS start,
+            i * 0.5::DOUBLE + 0.25 AS "end", word AS text, 0.5::DOUBLE AS probability FROM timed
+          UNION ALL SELECT conv_id || '/' || turn, 1, 0, 7.5, 7.5, role, NULL FROM conversations
+          UNION ALL SELECT conv_id || '/' || turn, 3, 0, 0.0, 0.0, role, NULL FROM conversations
+          UNION ALL SELECT conv_id || '/' || turn, 0, 0, 0.0, 0.0, text, NULL FROM conversations
+            WHERE len({corpus.TOKENS}) = 0 AND {corpus.collapse_sql('text')} <> '')
+        SELECT audio_key, row_number() OVER (PARTITION BY audio_key ORDER BY part, k) - 1 AS seq,
+          start, "end", text, probability FROM listed""",
     "g6_score_windows": """SELECT vec_id AS audio, round(1 / (1 + exp(-embedding[1]::DOUBLE * 10)), 4) AS p_speech,
         round(1 / (1 + exp(-embedding[2]::DOUBLE * 10)), 4) AS p_music,
         round(1 / (1 + exp(-embedding[3]::DOUBLE * 10)), 4) AS p_singing FROM embeddings""",

@@ -251,9 +251,9 @@ def job_payloads(spark, sf):
     """Aligned words and turns are written once; both kinds of output read them."""
     words = settle(c.talk_aligned(spark, sf))
     said = c.in_seconds(settle(build_turns(words, max_gap=800)))
-    heads = _heads(spark, sf)
+    heads = settle(_heads(spark, sf))
     return payload.job_payloads(
-        _checked_jobs(spark, sf), speech_plain(spark, sf),
+        settle(_checked_jobs(spark, sf)), speech_plain(spark, sf),
         payload.transcription_with_speakers(
             heads, said, c.in_seconds(words), SPEECH_MODEL, "es", digits=9),
         speakers_plain(spark, sf),
