@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from speechlake.functions.rounding import round_exact
 from speechlake.functions.text import collapse_ws, is_blank
 from speechlake.operators.align import UNIT_BLOCK
 from speechlake.operators.blocks import attach_carry, block_order, running_sum
@@ -107,13 +108,13 @@ def _split_turns(max_gap: float):
 
 def build_turns(
     aligned: DataFrame, max_gap: float = 0.8, block_rows: int = UNIT_BLOCK,
-    turn_block: int = TURN_BLOCK,
+    turn_block: int = TURN_BLOCK, digits: int = 3,
 ) -> DataFrame:
     """``audio_key, turn_no, start, end, speaker, text, unit_count``; turns numbered from 0.
 
     Blank units are dropped before anything else. A turn ends at a speaker change or when the
     next unit starts more than ``max_gap`` after the latest end so far. Units are ordered by
-    ``seq``, not by time. Runs a job: stretches are written once to the shared folder, and the
+    ``seq``, not by time. Times in fractions of seconds come out rounded to ``digits``. Runs a job: stretches are written once to the shared folder, and the
     passes that stitch them read only their times.
     """
     time_type = dict(aligned.dtypes)["end"]
@@ -172,6 +173,8 @@ def build_turns(
         turns, ["audio_key"], ["_turn"], F.size("_pieces").cast("bigint"), "_through",
         "_turn_block",
     )
+    fractional = time_type in ("double", "float")
+    shown = lambda t: round_exact(F.col(t), digits) if fractional else F.col(t)
     first_no = F.col("_through") - F.size("_pieces")
     return turns.select(
         "audio_key", "speaker", first_no.alias("_first_no"),
@@ -179,8 +182,8 @@ def build_turns(
     ).select(
         "audio_key",
         (F.col("_first_no") + F.col("_k")).alias("turn_no"),
-        F.col("p.start").alias("start"),
-        F.col("p.end").alias("end"),
+        shown("p.start").alias("start"),
+        shown("p.end").alias("end"),
         "speaker",
         collapse_ws(F.array_join("p.texts", "")).alias("text"),
         F.size("p.texts").cast("bigint").alias("unit_count"),

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from speechlake.functions.rounding import round_exact
+
 # Clip length, window length and hop in seconds; labels that are scored;
 # thresholds below and above which a window is a candidate to drop; rows shown.
 CLIP_SECONDS = 30.0
@@ -46,8 +48,8 @@ def sliding_windows(
     )
     start = F.col("window_no") * F.lit(hop)
     return recordings.withColumn("window_no", F.explode(numbers)).withColumn(
-        "start", F.bround(start, 2)
-    ).withColumn("end", F.bround(F.least(start + F.lit(window), F.col(duration)), 2))
+        "start", round_exact(start, 2)
+    ).withColumn("end", round_exact(F.least(start + F.lit(window), F.col(duration)), 2))
 
 
 def label_positions(labels: dict[int, str]) -> dict[str, int]:

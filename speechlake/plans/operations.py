@@ -292,7 +292,7 @@ ORACLES = {
               (SELECT o_orderkey, o_totalprice / 1000 AS d FROM orders WHERE o_totalprice > 0))""",
     "a7_voice_seconds": """SELECT l_orderkey, round(sum(l_quantity::BIGINT * 160)::BIGINT / 16000.0::DOUBLE, 6) AS voice_seconds
         FROM lineitem GROUP BY 1""",
-    "p11_sliding_windows": """SELECT o_orderkey, k * 5.0::DOUBLE AS start, round_even(least(k * 5.0::DOUBLE + 10, d), 2) AS "end"
+    "p11_sliding_windows": """SELECT o_orderkey, k * 5.0::DOUBLE AS start, printf('%.2f', least(k * 5.0::DOUBLE + 10, d))::DOUBLE AS "end"
         FROM (SELECT o_orderkey, d, unnest(range(greatest(0, ceil((d - 10) / 5))::BIGINT + 1)) AS k FROM
               (SELECT o_orderkey, o_totalprice / 1000 AS d FROM orders WHERE o_totalprice > 0))""",
     "p5_drop_candidates": f"WITH {SCORES} SELECT * FROM low",

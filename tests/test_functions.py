@@ -79,3 +79,14 @@ def test_labels_and_numbers(spark):
     assert seconds_to_frames(5.0) == 78
     packed = spark.range(1).select(pack_landmark(F.lit(3), F.lit(5), F.lit(7))).first()[0]
     assert packed == (3 << 20) | (5 << 10) | 7
+
+
+def test_round_exact_is_python_round(spark):
+    from speechlake.functions.rounding import round_exact
+
+    rng = random.Random(5)
+    values = [k / 1000 for k in range(0, 3000, 5)] + [rng.uniform(-5000, 90000) for _ in range(800)]
+    values += [69.195, 1.0005, 2.5, 0.125, 0.375, -0.125, 1e-9, 123456.0005] + [rng.randrange(10 ** 8) / 16000 for _ in range(800)]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    for r in df.select("v", *[round_exact(F.col("v"), d).alias(f"d{d}") for d in (1, 2, 3)]).collect():
+        assert (r.d1, r.d2, r.d3) == (round(r.v, 1), round(r.v, 2), round(r.v, 3)), r.v
