@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from speechlake.functions.rounding import round_exact
 from speechlake.operators.blocks import order_statistics
 from speechlake.operators.checkpoints import settle
 
@@ -50,8 +51,8 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
 def occurrence_key(file: Column, start: Column, end: Column) -> Column:
     """Name of an occurrence; times that agree to a tenth of a second are the same one."""
     return F.concat_ws("|", file.cast("string"),
-                       F.format_string("%.1f", F.bround(start, 1)),
-                       F.format_string("%.1f", F.bround(end, 1)))
+                       F.format_string("%.1f", round_exact(start, 1)),
+                       F.format_string("%.1f", round_exact(end, 1)))
 
 
 def group_occurrences(matches: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:

@@ -192,10 +192,10 @@ per AS (SELECT d.capture, duration, coalesce(matches, 0) AS matches, coalesce(n,
 OCCURRENCES = f"""{PAIRS}, {_clusters(VOTES)},
 sec AS (SELECT file_a, file_b, a_first * 512 / 8000.0::DOUBLE AS a0, a_last * 512 / 8000.0::DOUBLE AS a1,
                b_first * 512 / 8000.0::DOUBLE AS b0, b_last * 512 / 8000.0::DOUBLE AS b1 FROM matches),
-named AS (SELECT *, file_a || '|' || printf('%.1f', round_even(a0::DECIMAL(18, 3), 1)) || '|'
-                    || printf('%.1f', round_even(a1::DECIMAL(18, 3), 1)) AS src,
-          file_b || '|' || printf('%.1f', round_even(b0::DECIMAL(18, 3), 1)) || '|'
-                    || printf('%.1f', round_even(b1::DECIMAL(18, 3), 1)) AS dst FROM sec),
+named AS (SELECT *, file_a || '|' || printf('%.1f', a0) || '|'
+                    || printf('%.1f', a1) AS src,
+          file_b || '|' || printf('%.1f', b0) || '|'
+                    || printf('%.1f', b1) AS dst FROM sec),
 edges AS (SELECT DISTINCT src, dst FROM named UNION SELECT DISTINCT dst, src FROM named),
 reach AS (SELECT DISTINCT src AS node, src AS seen FROM edges
           UNION SELECT r.node, e.dst FROM reach r JOIN edges e ON r.seen = e.src),
