@@ -7,45 +7,44 @@ from pyspark.sql import functions as F
 
 from speechlake.functions.rounding import round_exact
 from speechlake.operators.blocks import order_statistics
-from speechlake.operators.checkpoints import settle
+from speechlake.operators.checkpoints import discard, settle
 
 MIN_CLIP_SECONDS = 10.0  # fixed value: shorter groups are not worth a clip
-MAX_ROUNDS = 60
 
 
-def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """``node, component`` for edges ``src, dst``; a component is named by its smallest node.
 
-    Every round takes the smallest label among the neighbours and then follows labels
-    to their own label, so distances shrink geometrically. Each round is written to the
-    shared folder, which keeps the plan short and survives lost executors. Runs jobs; fails if it does not converge.
+    Each round takes the smallest label among the neighbours, hands it to everything that carries the same
+    label, and follows labels to their own label, so chains shrink geometrically however long they are.
+    Rounds go on until no label changes. Each is written to the shared folder and the one before it is
+    removed. Runs jobs.
     """
-    both = edges.select("src", "dst").unionByName(
+    both = settle(edges.select("src", "dst").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    ).where(F.col("src") != F.col("dst")).distinct()
-    both = settle(both)
+    ).where(F.col("src") != F.col("dst")).distinct())
     nodes = edges.select(F.col("src").alias("node")).unionByName(
         edges.select(F.col("dst").alias("node"))
-    ).distinct()
+    ).where(F.col("node").isNotNull()).distinct()
     labels = settle(nodes.withColumn("component", F.col("node")))
-    for _ in range(max_rounds):
+    while True:
         seen = both.join(labels, F.col("dst") == F.col("node")).groupBy("src").agg(
             F.min("component").alias("_near")
         )
-        lowered = labels.join(seen, F.col("node") == F.col("src"), "left").select(
-            "node", F.col("component").alias("_old"),
-            F.least("component", "_near").alias("component"),
-        )
-        ahead = lowered.select(
-            F.col("node").alias("_at"), F.col("component").alias("_further")
-        )
-        moved = settle(lowered.join(ahead, F.col("component") == F.col("_at"), "left").select(
-            "node", "_old", F.least("component", "_further").alias("component")
-        ))
-        labels = moved.select("node", "component")
+        lowered = settle(labels.join(seen, F.col("node") == F.col("src"), "left").select(
+            "node", F.col("component").alias("_old"), F.least("component", "_near").alias("_low")))
+        hooked = lowered.groupBy(F.col("_old").alias("_at")).agg(F.min("_low").alias("_to"))
+        further = hooked.select(F.col("_at").alias("_at2"), F.col("_to").alias("_to2"))
+        jumps = hooked.join(further, F.col("_to") == F.col("_at2"), "left").select(
+            "_at", F.least("_to", "_to2").alias("_to"))
+        moved = settle(lowered.join(jumps, F.col("_old") == F.col("_at")).select(
+            "node", "_old", F.col("_to").alias("component")))
+        discard(labels)
+        discard(lowered)
+        labels = moved
         if moved.where(F.col("_old") != F.col("component")).isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle within {max_rounds} rounds")
+            discard(both)
+            return moved.select("node", "component")
 
 
 def occurrence_key(file: Column, start: Column, end: Column) -> Column:
@@ -55,7 +54,7 @@ def occurrence_key(file: Column, start: Column, end: Column) -> Column:
                        F.format_string("%.1f", round_exact(end, 1)))
 
 
-def group_occurrences(matches: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def group_occurrences(matches: DataFrame) -> DataFrame:
     """``component, node, file_id, start_s, end_s`` for every occurrence in a match table."""
     sides = {
         s: F.struct(
@@ -65,7 +64,7 @@ def group_occurrences(matches: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataF
         ) for s in "ab"
     }
     edges = matches.select(sides["a"]["node"].alias("src"), sides["b"]["node"].alias("dst"))
-    found = connected_components(edges.distinct(), max_rounds)
+    found = connected_components(edges.distinct())
     occurrences = (
         matches.select(F.explode(F.array(sides["a"], sides["b"])).alias("o")).select("o.*")
         .groupBy("node", "file_id")
