@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ROOTS: dict[str, str] = {}  # application id to the folder of its tables
 
 
@@ -46,11 +47,17 @@ def settle(df: DataFrame) -> DataFrame:
     """Write the table to the shared folder as Parquet and go on from there; runs a job.
 
     Later steps read only the columns they need, plans stay short, and a lost executor costs
-    a re-read, not a recomputation. ``discard`` removes the table again.
+    a re-read, not a recomputation. Shuffle files go when the table is written: nothing reads them again.
+    ``discard`` removes the table.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._settled_at = path
     return out
