@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speechlake.llm import decontaminate, language, lines, mixing, pii, simhash
+from speechlake.llm import decontaminate, language, lines, mixing, pii, simhash, substrings, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,17 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that repeated passages cover, and what is left."""
+    return substrings.remove_repeated(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each vector."""
+    return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each document, those removed as repeated passages, and what is left."""
     return lines.dedup_lines(_table(spark, sf_dir, "documents"), counts=True).select(
@@ -68,7 +79,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources, "op3_simhash": op3_simhash, "op4_language": op4_language,
-    "op5_decontaminate": op5_decontaminate, "op7_line_dedup": op7_line_dedup, "op9_pii": op9_pii,
+    "op5_decontaminate": op5_decontaminate, "op6_substrings": op6_substrings, "op7_line_dedup": op7_line_dedup, "op9_pii": op9_pii,
+    "op10_near_vectors": op10_near_vectors,
 }
 
 _OP5 = r"""
@@ -97,4 +109,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLES = {"op5_decontaminate": _OP5}
+_OP6 = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs WHERE len(w) >= 20)),
+repeated AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS spot FROM repeated),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS spot FROM docs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY spot) AS kept, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, spot) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES = {"op5_decontaminate": _OP5, "op6_substrings": _OP6}
