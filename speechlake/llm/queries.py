@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speechlake.llm import decontaminate, language, lines, mixing, pii, simhash, substrings, vectors
+from speechlake.llm import decontaminate, language, licenses, lines, mixing, pages, pii, simhash, substrings, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,16 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families stated in each document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.train(docs)).select("doc_id", "licenses")
+    families = F.array_sort(F.array_distinct(F.transform("licenses", lambda x: x["family"])))
+    return found.select(
+        "doc_id", F.size("licenses").cast("long").alias("n_statements"), F.array_join(families, ",").alias("families"),
+        F.round(F.array_max(F.transform("licenses", lambda x: x["probability"])), 4).alias("best_probability"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
     return simhash.fingerprint_components(_table(spark, sf_dir, "documents"))
@@ -60,6 +70,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return pages.extract_text(_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in each document."""
     found = pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
@@ -78,9 +94,9 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_mix_sources": op1_mix_sources, "op3_simhash": op3_simhash, "op4_language": op4_language,
-    "op5_decontaminate": op5_decontaminate, "op6_substrings": op6_substrings, "op7_line_dedup": op7_line_dedup, "op9_pii": op9_pii,
-    "op10_near_vectors": op10_near_vectors,
+    "op1_mix_sources": op1_mix_sources, "op2_licenses": op2_licenses, "op3_simhash": op3_simhash, "op4_language": op4_language,
+    "op5_decontaminate": op5_decontaminate, "op6_substrings": op6_substrings, "op7_line_dedup": op7_line_dedup, "op8_page_text": op8_page_text,
+    "op9_pii": op9_pii, "op10_near_vectors": op10_near_vectors,
 }
 
 _OP5 = r"""
