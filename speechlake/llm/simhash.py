@@ -301,6 +301,18 @@ def fingerprint_links(fps: DataFrame, masks: list[list[int]], lanes: int, sure:
         F.array(*[f"a{i}" for i in range(lanes)]).alias("src"), F.array(*[f"b{i}" for i in range(lanes)]).alias("dst"), "sure")
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Fewer edges with the same components.
+
+    A node's partners in all tables are tied to the smallest of them instead of to the node; as the members of a
+    group share their partners, most of these edges are the same one. A node has at most a few partners for each table.
+    """
+    ends = edges.select(F.least("src", "dst").alias("low"), F.greatest("src", "dst").alias("high"))
+    tied = ends.groupBy("high").agg(F.min("low").alias("src"), F.collect_set("low").alias("_lows"))
+    return tied.select("src", F.explode(F.array_union("_lows", F.array("high"))).alias("dst")).where(
+        F.col("src") != F.col("dst")).distinct()
+
+
 def hexadecimal(fp: Column) -> Column:
     """Lanes as 16 lower-case digits each."""
     return F.array_join(F.transform(fp, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
@@ -319,7 +331,7 @@ def fingerprint_components(docs: DataFrame, text: str = "text", doc_id: str = "d
     rows = settle(rows.select("doc_id", fingerprints(F.col("_h")).alias("fp")))
     classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     links = fingerprint_links(classes, block_masks(radius + 2, 2), 1, radius)
-    found = connected_components(links.select(F.col("src")[0].alias("src"), F.col("dst")[0].alias("dst")))
+    found = connected_components(contracted(links.select(F.col("src")[0].alias("src"), F.col("dst")[0].alias("dst"))))
     named = classes.join(found, F.col("fp")[0] == F.col("node"), "left").withColumn(
         "_of", F.coalesce("component", F.col("fp")[0]))
     lowest = named.groupBy("_of").agg(F.min("low").alias("component_id"))
@@ -360,7 +372,8 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     checked = unsure.join(a, "src").join(b, "dst").where(
         both >= similarity * (F.size("_sa") + F.size("_sb") - both)).select("src", "dst")
     every = links.where("sure").select("src", "dst").unionByName(checked)
-    found = connected_components(every.select(hexadecimal(F.col("src")).alias("src"), hexadecimal(F.col("dst")).alias("dst")))
+    found = connected_components(contracted(every.select(
+        hexadecimal(F.col("src")).alias("src"), hexadecimal(F.col("dst")).alias("dst"))))
     named = classes.withColumn("_node", hexadecimal(F.col("fp"))).join(found, F.col("_node") == F.col("node"), "left")
     named = named.withColumn("_of", F.coalesce("component", "_node"))
     leaders = named.groupBy("_of").agg(F.min("lead").alias("leader"))
