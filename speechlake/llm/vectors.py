@@ -76,6 +76,10 @@ def _codes(tables: int, seed: int):
 def _verify(threshold: float):
     schema = pa.schema([("a", pa.string()), ("b", pa.string())])
 
+    def by_length(table: pd.DataFrame) -> Iterator[pa.RecordBatch]:
+        for _, part in table.groupby(table["v"].map(len), sort=False):
+            yield pairs(part.reset_index(drop=True))
+
     def pairs(table: pd.DataFrame) -> pa.RecordBatch:
         x = np.stack(table["v"].to_numpy()).astype(np.float64)
         norm = np.sqrt((x * x).sum(1))
@@ -123,10 +127,10 @@ def _verify(threshold: float):
             other = np.flatnonzero((key != key[-1]).any(1))
             begin = int(other[-1]) + 1 if len(other) else 0
             if begin:
-                yield pairs(table.iloc[:begin].reset_index(drop=True))
+                yield from by_length(table.iloc[:begin])
             held, rows = [table.iloc[begin:]], len(table) - begin
         if rows:
-            yield pairs(pd.concat(held, ignore_index=True))
+            yield from by_length(pd.concat(held, ignore_index=True))
 
     return task
 
