@@ -27,6 +27,6 @@ def test_same_rows(spark, name):
 
 
 def test_every_query_has_sql():
-    import __spark_entry__ as entry
+    from speechlake.plans import catalog
 
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracles())
