@@ -21,7 +21,7 @@ UNICODE_SPACE = r"[\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f
 TOKEN_PATTERN = r"(?:dckr_pat_|hf_|rpa_)[A-Za-z0-9_-]+"
 ERROR_KEYS = ("detail", "message", "error", "title")
 DETAIL_CHARS = 2000
-NO_REASON = "La API no devolvió un motivo."
+NO_REASON = "no reason was given"
 MASK = "***"
 
 

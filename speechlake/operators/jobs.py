@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from speechlake.sources.tables import collapse_ends
+
 # Fixed value: the outputs that exist, in their canonical order.
 OUTPUTS = ("transcription", "diarization")
 
@@ -55,7 +57,7 @@ def resolve_outputs(jobs: DataFrame, capabilities: Sequence[str] = OUTPUTS) -> D
     an unknown output, no output at all, an output outside the capabilities.
     """
     option = lambda field, kind: F.when(F.col(f"options.{field}"), F.lit(kind))
-    asked = F.transform("requested_outputs", lambda x: F.lower(F.trim(x)))
+    asked = F.transform("requested_outputs", lambda x: F.lower(collapse_ends(x)))
     from_options = F.array_compact(
         F.array(option("transcribe", OUTPUTS[0]), option("diarize", OUTPUTS[1]))
     )

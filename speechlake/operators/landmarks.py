@@ -81,8 +81,13 @@ def spectrogram(
                 count = min(1 + (len(x) - window) // hop, -(-own // hop))
                 if count <= 0:
                     continue
-                rows = np.lib.stride_tricks.sliding_window_view(x, window)[::hop][:count]
-                db = 20 * np.log10(np.abs(np.fft.rfft(rows * taper, axis=1)) + FLOOR)
+                # the chunk as rows of one hop each; a frame is a row and the ones after it
+                parts = -(-window // hop)
+                lanes = np.zeros((count - 1 + parts, hop))
+                lanes.flat[:min(len(x), lanes.size)] = x[:lanes.size]
+                frames = np.hstack([lanes[k:k + count] for k in range(parts)])[:, :window]
+                level = np.absolute(np.fft.rfft(taper * frames, n=window, axis=-1))
+                db = np.log10(level + FLOOR) * 20
                 yield pd.DataFrame({
                     "item_id": item, "_chunk": chunk, "_k": np.arange(count), "db": list(db),
                 })

@@ -299,7 +299,7 @@ ORACLES = {
     "p5_first_candidates": f"WITH {SCORES} SELECT * FROM low ORDER BY audio, start LIMIT 30",
     "t3_first_recordings": "SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1000",
     "f12_redacted_text": f"SELECT doc_id, regexp_replace(text, '{TOKENS_SQL}', '***', 'g') AS text FROM documents",
-    "f12_error_details": f"""SELECT event_id, CASE WHEN d = '' THEN 'La API no devolvió un motivo.' ELSE d END AS detail
+    "f12_error_details": f"""SELECT event_id, CASE WHEN d = '' THEN 'no reason was given' ELSE d END AS detail
         FROM (SELECT event_id, {DETAIL} AS d FROM events)""",
     "f13_leaked_tokens": f"SELECT doc_id FROM documents WHERE regexp_matches(text, '{TOKENS_SQL}')",
     "f14_t6_findings": rf"""WITH l AS (SELECT regexp_replace(split_part(split_part(url, '?', 1), '#', 1), '^[a-z]+://', '') AS path FROM pages),

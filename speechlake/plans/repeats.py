@@ -160,10 +160,8 @@ arrivals AS (SELECT item, coalesce(started_at, '') AS started_at,
 
 INCREMENTAL = f"""{ARRIVALS},
 l AS MATERIALIZED (SELECT g.*, arrival FROM {DOCS} g JOIN arrivals a ON g.item = a.item),
-kept AS (SELECT * FROM l QUALIFY row_number() OVER
-         (PARTITION BY hash ORDER BY arrival, t) <= {matching.INDEX_LIMIT}),
 pairs AS (SELECT a.item AS file_a, b.item AS file_b, a.t - b.t AS "offset", a.t AS ta
-          FROM l a JOIN kept b ON a.hash = b.hash AND b.arrival < a.arrival)"""
+          FROM l a JOIN l b ON a.hash = b.hash AND b.arrival < a.arrival)"""
 
 HITS = f"""
 pairs AS (SELECT a.item AS file_a, b.item AS file_b, a.t - b.t AS "offset", a.t AS ta

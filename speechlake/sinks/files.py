@@ -66,8 +66,8 @@ def write_embeddings(embeddings: DataFrame, path: str) -> None:
 
 
 def append_progress(rows: DataFrame, path: str) -> None:
-    """Add rows to a progress log; nothing already there is touched."""
-    rows.write.mode("append").option("header", True).csv(path)
+    """Add rows to a progress log; nothing already there is touched. Quotes inside a field are doubled."""
+    rows.write.mode("append").option("header", True).option("escape", '"').csv(path)
 
 
 def save_clips(clips: DataFrame, landmarks: DataFrame, name: str, buckets: int = 64) -> None:
