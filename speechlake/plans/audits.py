@@ -18,12 +18,16 @@ def _talks(spark, sf):
 
 
 def audios(spark, sf):
-    """Recordings: all conversations but every 23rd, whose transcript is an orphan."""
-    return _talks(spark, sf).where("audio_key % 23 <> 0")
+    return _talks(spark, sf)
+
+
+def _filed(key):
+    """Every recording has a document, but every eleventh is filed under a key that no recording has."""
+    return F.when(key % 11 == 0, -key).otherwise(key)
 
 
 def documents(spark, sf):
-    return _talks(spark, sf).where("audio_key % 11 <> 0")
+    return _talks(spark, sf).select(_filed(F.col("audio_key")).alias("audio_key"))
 
 
 def listing(spark, sf):
@@ -41,8 +45,8 @@ def heads(spark, sf):
     per = c.spread(table(spark, sf, "conversations")).groupBy(F.col("conv_id").alias("audio_key")).agg(
         (F.max("turn") * 20 + 15).cast("double").alias("length"), (F.sum(size) * 0.25).alias("voice"))
     ok = k % 17 != 0
-    return per.where("audio_key % 11 <> 0").select(
-        "audio_key", ok.alias("parse_ok"),
+    return per.select(
+        _filed(k).alias("audio_key"), ok.alias("parse_ok"),
         F.when(ok & (k % 29 != 0), F.col("length")).alias("duration"),
         F.when(ok, F.col("voice")).alias("duration_after_vad"),
         F.when(ok & (k % 5 != 0), F.when(k % 2 == 0, "en").otherwise("fr")).alias("language"),
@@ -50,17 +54,12 @@ def heads(spark, sf):
     )
 
 
-def _readable(df):
-    """Rows of documents that exist, parse and are not the empty ones."""
-    return df.where("audio_key % 11 <> 0 and audio_key % 17 <> 0 and audio_key % 31 <> 0")
-
-
 def segments(spark, sf):
-    return _readable(c.talk_segments(spark, sf))
+    return c.talk_segments(spark, sf)
 
 
 def words(spark, sf):
-    return _readable(c.talk_segment_words(spark, sf))
+    return c.talk_segment_words(spark, sf)
 
 
 def audit_rows(spark, sf):
@@ -145,8 +144,7 @@ def _speaker_rows(spark, sf):
         (k * 0.35).alias("processing_seconds"))
     transcripts = heads(spark, sf).select("audio_key", (k % 6).alias("segments"),
                                           F.when(k % 18 != 0, F.col("duration_after_vad")).alias("duration_after_vad"))
-    silent = F.col("audio_key") % 6 == 0
-    return sa.audit_speakers(diarizations, intervals, units.where(~silent), turns.where(~silent), transcripts)
+    return sa.audit_speakers(diarizations, intervals, units, turns, transcripts)
 
 
 def speaker_audit(spark, sf):
@@ -236,8 +234,8 @@ QUERIES = {
 
 LISTS = f"""
 talks AS (SELECT DISTINCT conv_id AS audio_key FROM conversations),
-audios AS (SELECT * FROM talks WHERE audio_key % 23 <> 0),
-documents AS (SELECT * FROM talks WHERE audio_key % 11 <> 0),
+audios AS (SELECT * FROM talks),
+documents AS (SELECT CASE WHEN audio_key % 11 = 0 THEN -audio_key ELSE audio_key END AS audio_key FROM talks),
 listing AS (
   SELECT audio_key, '.json' AS suffix FROM talks WHERE audio_key % 11 <> 0
   UNION ALL SELECT audio_key, '.txt' FROM talks WHERE audio_key % 7 <> 0
@@ -245,17 +243,16 @@ listing AS (
   UNION ALL SELECT audio_key, '.speakers.json' FROM talks WHERE audio_key % 4 <> 0
   UNION ALL SELECT audio_key, '.diarization.json' FROM talks WHERE audio_key % 5 <> 0),
 heads AS (
-  SELECT conv_id AS audio_key, conv_id % 17 <> 0 AS parse_ok,
+  SELECT CASE WHEN conv_id % 11 = 0 THEN -conv_id ELSE conv_id END AS audio_key, conv_id % 17 <> 0 AS parse_ok,
     CASE WHEN conv_id % 17 <> 0 AND conv_id % 29 <> 0 THEN (max(turn) * 20 + 15)::DOUBLE END AS duration,
     CASE WHEN conv_id % 17 <> 0 THEN sum(len({c.TOKENS})) * 0.25::DOUBLE END AS duration_after_vad,
     CASE WHEN conv_id % 17 <> 0 AND conv_id % 5 <> 0 THEN CASE WHEN conv_id % 2 = 0 THEN 'en' ELSE 'fr' END END AS language
-  FROM conversations WHERE conv_id % 11 <> 0 GROUP BY conv_id)"""
+  FROM conversations GROUP BY conv_id)"""
 
 AUDIT = f"""{c.UNITS_SQL}, {c.SEGMENTS_SQL}, {LISTS},
-rsegs AS (SELECT *, s_ms / 1000.0::DOUBLE AS s, e_ms / 1000.0::DOUBLE AS e FROM segs
-          WHERE audio_key % 11 <> 0 AND audio_key % 17 <> 0 AND audio_key % 31 <> 0),
+rsegs AS (SELECT *, s_ms / 1000.0::DOUBLE AS s, e_ms / 1000.0::DOUBLE AS e FROM segs),
 rwords AS (SELECT u.audio_key, probability, us / 1000.0::DOUBLE AS us, ue / 1000.0::DOUBLE AS ue, s, e
-           FROM units u JOIN rsegs g ON u.audio_key = g.audio_key AND u.turn = g.segment_pos WHERE has_words),
+           FROM units u JOIN rsegs g ON u.audio_key = g.audio_key AND u.turn = g.segment_pos),
 seg AS (SELECT g.audio_key, count(*) AS segments, bool_or(has_words) AS has_words,
     count(*) FILTER (WHERE s < 0 OR e < s OR e > coalesce(duration, 0) + 1) AS invalid_segment_times
   FROM rsegs g JOIN heads h ON g.audio_key = h.audio_key GROUP BY 1),
@@ -269,12 +266,16 @@ wst AS (SELECT audio_key, count(*) AS words, avg(probability) AS mean, median(pr
 base AS (
   SELECT a.audio_key, h.audio_key IS NOT NULL AS json_exists,
     coalesce(t.audio_key IS NOT NULL, false) AS txt_exists, r.audio_key IS NOT NULL AS srt_exists,
-    coalesce(parse_ok, false) AS ok, coalesce(duration, 0) AS d, coalesce(duration_after_vad, 0) AS v, language,
-    coalesce(segments, 0) AS segments, coalesce(words, 0) AS words, coalesce(seg.has_words, false) AS has_words,
-    mean, med, coalesce(low, 0) AS low, coalesce(vlow, 0) AS vlow, low / nullif(words, 0) AS rate,
-    coalesce(segment_overlaps, 0) AS segment_overlaps, coalesce(max_overlap, 0) AS max_overlap,
-    coalesce(invalid_segment_times, 0) AS invalid_segment_times, coalesce(invalid_word_times, 0) AS invalid_word_times
-  FROM audios a LEFT JOIN heads h USING (audio_key) LEFT JOIN seg USING (audio_key)
+    coalesce(h.ok, false) AS ok, coalesce(duration, 0) AS d, coalesce(duration_after_vad, 0) AS v, language,
+    CASE WHEN h.ok THEN coalesce(segments, 0) ELSE 0 END AS segments, CASE WHEN h.ok THEN coalesce(words, 0) ELSE 0 END AS words,
+    coalesce(seg.has_words, false) AS has_words, CASE WHEN h.ok THEN mean END AS mean, CASE WHEN h.ok THEN med END AS med,
+    CASE WHEN h.ok THEN coalesce(low, 0) ELSE 0 END AS low, CASE WHEN h.ok THEN coalesce(vlow, 0) ELSE 0 END AS vlow,
+    CASE WHEN h.ok THEN low / nullif(wst.words, 0) END AS rate,
+    CASE WHEN h.ok THEN coalesce(segment_overlaps, 0) ELSE 0 END AS segment_overlaps,
+    CASE WHEN h.ok THEN coalesce(max_overlap, 0) ELSE 0 END AS max_overlap,
+    CASE WHEN h.ok THEN coalesce(invalid_segment_times, 0) ELSE 0 END AS invalid_segment_times,
+    CASE WHEN h.ok THEN coalesce(invalid_word_times, 0) ELSE 0 END AS invalid_word_times
+  FROM audios a LEFT JOIN (SELECT *, parse_ok AS ok FROM heads) h USING (audio_key) LEFT JOIN seg USING (audio_key)
   LEFT JOIN ovl USING (audio_key) LEFT JOIN wst USING (audio_key)
   LEFT JOIN (SELECT audio_key FROM listing WHERE suffix = '.txt') t USING (audio_key)
   LEFT JOIN (SELECT audio_key FROM listing WHERE suffix = '.srt') r USING (audio_key)),
@@ -292,7 +293,7 @@ audit AS MATERIALIZED (SELECT *, list_filter([
 
 SPEAKERS = f"""{c.ALIGNED_SQL}, {LISTS},
 units2 AS (SELECT * REPLACE (CASE WHEN audio_key % 8 = 3 AND seq % 20 = 0 THEN ' ' ELSE speaker END AS speaker)
-           FROM aligned WHERE audio_key % 6 <> 0),
+           FROM aligned),
 runs AS (SELECT *, sum(chg) OVER (PARTITION BY audio_key ORDER BY seq) AS run
   FROM (SELECT *, CASE WHEN speaker = lag(speaker) OVER (PARTITION BY audio_key ORDER BY seq)
                        THEN 0 ELSE 1 END AS chg FROM aligned)),
@@ -301,7 +302,7 @@ reach AS (SELECT *, max(ue) OVER (PARTITION BY audio_key, run ORDER BY seq
 marked AS (SELECT *, sum(CASE WHEN far IS NULL OR us - far > 60 THEN 1 ELSE 0 END)
             OVER (PARTITION BY audio_key ORDER BY seq) AS turn_no FROM reach),
 turns2 AS (SELECT audio_key, turn_no, speaker, (max(ue) - arg_min(us, seq)) / 1000.0::DOUBLE AS len
-           FROM marked WHERE audio_key % 6 <> 0 GROUP BY ALL),
+           FROM marked GROUP BY ALL),
 dia AS (SELECT audio_key, CASE WHEN audio_key % 10 = 0 THEN 0 WHEN audio_key % 15 = 1 THEN 13
       ELSE count(DISTINCT speaker) END AS num_speakers,
     CASE WHEN audio_key % 12 <> 0 THEN (max(pos) * 60 + 20)::DOUBLE END AS length,

@@ -171,7 +171,7 @@ def srt_sql(ms: str, mark: str = ",") -> str:
 
 
 def talk_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A segment per conversation turn, in seconds; some blank, some ending before they start."""
+    """A segment per conversation turn, in seconds; some end before they start."""
     c = spread(table(spark, sf_dir, "conversations"))
     start = F.col("turn") * TURN_MS
     backward = (F.col("conv_id") % 13 == 0) & (F.col("turn") == 1)
@@ -179,8 +179,7 @@ def talk_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         F.col("conv_id").alias("audio_key"), F.col("turn").alias("segment_pos"),
         (start / 1000.0).alias("start"), (end / 1000.0).alias("end"),
-        F.when((F.col("conv_id") + F.col("turn")) % 6 == 0, F.lit(" \t"))
-        .otherwise(F.col("text")).alias("text"),
+        "text",
         (F.col("conv_id") % 19 != 0).alias("has_words"),
         F.size(_tokens("text")).alias("n_tokens"),
     )
@@ -192,7 +191,7 @@ def in_seconds(df: DataFrame) -> DataFrame:
 
 def talk_segment_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of :func:`talk_segments` with the times of their segment."""
-    heads = talk_segments(spark, sf_dir).where("has_words").select(
+    heads = talk_segments(spark, sf_dir).select(
         "audio_key", F.col("segment_pos").alias("turn"),
         F.col("start").alias("segment_start"), F.col("end").alias("segment_end"),
     )
@@ -205,6 +204,6 @@ segs AS (
   SELECT conv_id AS audio_key, turn AS segment_pos, turn * 20000 AS s_ms,
          CASE WHEN conv_id % 13 = 0 AND turn = 1 THEN turn * 20000 - 1000
               ELSE turn * 20000 + len({TOKENS}) * 400 + 250 END AS e_ms,
-         CASE WHEN (conv_id + turn) % 6 = 0 THEN ' \t' ELSE text END AS text,
+         text,
          conv_id % 19 <> 0 AS has_words
   FROM conversations)"""

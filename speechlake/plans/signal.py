@@ -25,9 +25,9 @@ def spectrum(spark, sf):
 
 
 def _grid(spark, sf):
-    """One grid per label: a frame per embedding in order of id, 24 bins of integer decibels."""
+    """One grid per label: a frame per embedding in order of id, a bin for each of its numbers."""
     e = table(spark, sf, "embeddings").select("label", "vec_id", F.transform(
-        F.slice("embedding", 1, 24), lambda x: F.floor(x.cast("double") * 1000) / 8.0).alias("db"))
+        "embedding", lambda x: F.floor(x.cast("double") * 1000) / 8.0).alias("db"))
     numbered = number_rows(with_block(e, "vec_id", 64), ["label"], ["vec_id"], "frame")
     return numbered.select(F.col("label").alias("item_id"), (F.col("frame") - 1).alias("frame"), "db")
 
@@ -71,7 +71,7 @@ QUERIES = {
 
 GRID = """
 grid AS (SELECT item_id, frame, b - 1 AS f, floor(embedding[b]::DOUBLE * 1000) / 8 AS db FROM
-  (SELECT *, unnest(range(1, 25)) AS b FROM (SELECT label AS item_id, embedding,
+  (SELECT *, unnest(range(1, len(embedding) + 1)) AS b FROM (SELECT label AS item_id, embedding,
           row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame FROM embeddings))),
 thr AS (SELECT item_id, quantile_cont(db, 0.75) AS threshold FROM grid GROUP BY 1)"""
 

@@ -233,18 +233,22 @@ def resolved_jobs(spark, sf):
 
 
 def _checked_jobs(spark, sf):
-    jobs = jb.resolve_outputs(jb.parse_jobs(_job_lines(spark, sf))).where("valid and reject_reason is null")
+    """All jobs: ``accepted`` tells the valid ones, and a job on no conversation lacks everything it needs."""
+    jobs = jb.resolve_outputs(jb.parse_jobs(_job_lines(spark, sf)))
     number = F.substring("job_id", 2, 20).cast("bigint")
     heads = _heads(spark, sf).select("audio_key")
-    jobs = jobs.select("job_id", number.alias("audio_key"), "outputs").join(heads, "audio_key").select(
-        "*", (F.col("audio_key") % 11 != 0).alias("has_transcript"),
-        (F.col("audio_key") % 6 != 0).alias("has_diarization"),
-        (F.col("audio_key") % 9 != 0).alias("has_speakers"))
+    known = F.col("_known").isNotNull()
+    jobs = jobs.select(
+        "job_id", number.alias("audio_key"), "outputs", (F.col("valid") & F.col("reject_reason").isNull()).alias("accepted"),
+    ).join(heads.withColumn("_known", F.lit(True)), "audio_key", "left").select(
+        "job_id", "audio_key", "outputs", "accepted", (known & (F.col("audio_key") % 11 != 0)).alias("has_transcript"),
+        (known & (F.col("audio_key") % 6 != 0)).alias("has_diarization"),
+        (known & (F.col("audio_key") % 9 != 0)).alias("has_speakers"))
     return payload.check_jobs(jobs)
 
 
 def checked_jobs(spark, sf):
-    return _checked_jobs(spark, sf).select("job_id", "missing")
+    return _checked_jobs(spark, sf).select("job_id", "accepted", "missing")
 
 
 def job_payloads(spark, sf):
@@ -253,7 +257,7 @@ def job_payloads(spark, sf):
     said = c.in_seconds(settle(build_turns(words, max_gap=800)))
     heads = settle(_heads(spark, sf))
     return payload.job_payloads(
-        settle(_checked_jobs(spark, sf)), speech_plain(spark, sf),
+        settle(_checked_jobs(spark, sf).where("accepted")), speech_plain(spark, sf),
         payload.transcription_with_speakers(
             heads, said, c.in_seconds(words), SPEECH_MODEL, "es", digits=9),
         speakers_plain(spark, sf),
@@ -357,7 +361,7 @@ lines AS (SELECT audio_key, segment_pos, {c.collapse_sql('text')} AS t FROM segs
 bounds AS (SELECT audio_key, min(segment_pos) AS f, max(segment_pos) AS l FROM lines WHERE t <> '' GROUP BY 1),
 shown AS (SELECT lines.* FROM lines JOIN bounds USING (audio_key) WHERE segment_pos BETWEEN f AND l),
 timed AS (SELECT u.* FROM units u JOIN segs s ON u.audio_key = s.audio_key AND u.turn = s.segment_pos
-          WHERE s.has_words AND seq % 10 <> 3)"""
+          WHERE seq % 10 <> 3)"""
 SPEECH_ONLY = (
     _ends(TEXT_HEAD, TEXT_MIDDLE, "']}'", 3) + " UNION ALL "
     + _list("shown", 1, "segment_pos", _inside("t"), r"'\n'") + " UNION ALL "
@@ -381,11 +385,11 @@ jobs AS (SELECT o_orderkey AS k, 'j' || o_orderkey AS job_id, 'l' || o_orderkey
    END AS outputs,
    CASE left(o_orderpriority, 1) WHEN '4' THEN 'unknown output: chapters, summary'
      WHEN '5' THEN 'no output requested' END AS reject_reason FROM orders),
-checked AS (SELECT job_id, k AS audio_key, outputs, nullif(concat_ws(', ',
-    CASE WHEN k % 11 = 0 THEN 'transcript' END,
-    CASE WHEN contains(outputs, 'diar') AND k % 6 = 0 THEN 'diarization' END,
-    CASE WHEN contains(outputs, 'diar') AND k % 9 = 0 THEN 'speakers' END), '') AS missing
-  FROM jobs WHERE url IS NOT NULL AND reject_reason IS NULL AND k IN (SELECT conv_id FROM conversations))"""
+checked AS (SELECT job_id, k AS audio_key, outputs, url IS NOT NULL AND reject_reason IS NULL AS accepted, nullif(concat_ws(', ',
+    CASE WHEN contains(outputs, 'transc') AND (k % 11 = 0 OR conv IS NULL) THEN 'transcript' END,
+    CASE WHEN contains(outputs, 'diar') AND (k % 6 = 0 OR conv IS NULL) THEN 'diarization' END,
+    CASE WHEN contains(outputs, 'diar') AND (k % 9 = 0 OR conv IS NULL) THEN 'speakers' END), '') AS missing
+  FROM jobs LEFT JOIN (SELECT DISTINCT conv_id AS conv FROM conversations) ON k = conv)"""
 
 ORACLES = {
     "f1_f2_f3_f4_timestamps": f"""SELECT o_orderkey, {c.srt_sql(MS)} AS srt,
@@ -449,9 +453,9 @@ ORACLES = {
     "p4_t5_resolved_outputs": f"""WITH {JOBS} SELECT job_id, outputs, reject_reason,
         coalesce(reject_reason, CASE WHEN contains(outputs, 'diar')
           THEN 'outside capabilities: diarization' END) AS narrow_reason FROM jobs""",
-    "pl3_checked_jobs": f"WITH {JOBS} SELECT job_id, missing FROM checked",
+    "pl3_checked_jobs": f"WITH {JOBS} SELECT job_id, accepted, missing FROM checked",
     "snk8_pl3_job_payloads": f"""WITH {c.TURNS_SQL}, {HEADS}, {PLAIN_SQL}, {JOBS},
-        ready AS (SELECT *, contains(outputs, ',') AS two FROM checked WHERE missing IS NULL),
+        ready AS (SELECT *, contains(outputs, ',') AS two FROM checked WHERE missing IS NULL AND accepted),
         sb AS ({SPEECH_BOTH}), so AS ({SPEECH_ONLY}), db AS ({SPEAKERS_BOTH})
         SELECT job_id, 0 AS part, 0 AS ord, '{{"outputs":{{"transcription":' AS body FROM ready
         UNION ALL SELECT job_id, 19, 0, '}}}}' FROM ready
