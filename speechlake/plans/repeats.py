@@ -25,6 +25,11 @@ def landmark_votes(spark, sf):
     return matching.count_votes(matching.offset_pairs(docs(spark, sf), min_votes=VOTES), VOTES)
 
 
+def hot_landmark_votes(spark, sf):
+    """The same votes with a level at which hashes count as hot at every size."""
+    return matching.count_votes(matching.offset_pairs(docs(spark, sf), min_votes=VOTES, hot_pairs=100), VOTES)
+
+
 def sampled_votes(spark, sf):
     pairs = matching.sampled_pairs(docs(spark, sf, hashed=False))
     return matching.count_votes(pairs, VOTES)
@@ -96,6 +101,7 @@ def canonical_clips(spark, sf):
 
 QUERIES = {
     "j3_a1_landmark_votes": landmark_votes,
+    "j3_hot_landmark_votes": hot_landmark_votes,
     "j4_sampled_votes": sampled_votes,
     "j5_incremental_matches": incremental_matches,
     "a2_w2_t2_corpus_matches": corpus_matches,
@@ -219,6 +225,7 @@ MATCH_SQL = 'SELECT file_a, file_b, "offset", n_hashes, a_first, a_last, b_first
 
 ORACLES = {
     "j3_a1_landmark_votes": f"WITH {PAIRS} {VOTE_SQL}",
+    "j3_hot_landmark_votes": f"WITH {PAIRS} {VOTE_SQL}",
     "j4_sampled_votes": f"WITH {SAMPLED} {VOTE_SQL}",
     "j5_incremental_matches": f"WITH {INCREMENTAL}, {_clusters(VOTES)} {MATCH_SQL}",
     "a2_w2_t2_corpus_matches": f"WITH {PAIRS}, {_clusters(VOTES)} {MATCH_SQL}",

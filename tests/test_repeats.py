@@ -50,6 +50,20 @@ def test_offset_pairs_are_exact_whatever_is_hot(spark, hot_pairs):
     assert {(r.file_a, r.file_b, r.offset): r.votes for r in got.collect()} == votes_of(brute_pairs(rows), 6)
 
 
+@pytest.mark.parametrize("hot_pairs", [0, 10, 10 ** 9])
+def test_repeated_landmarks_count_each_time(spark, hot_pairs):
+    four_times = [(item, h, h) for item in (1, 2) for h in (1, 2, 3) for _ in range(4)]
+    rows = four_times + [(1, 99, 9), (2, 99, 9)]
+    got = matching.count_votes(matching.offset_pairs(
+        spark.createDataFrame(rows, MARK), min_votes=14, hot_pairs=hot_pairs), 14)
+    assert [(r.file_a, r.file_b, r.offset, r.votes) for r in got.collect()] == [(1, 2, 0, 49)]
+    rng = random.Random(8)
+    rows = [row for row in random_marks(4, items=12) for _ in range(rng.choice([1, 1, 1, 2, 3]))]
+    got = matching.count_votes(matching.offset_pairs(
+        spark.createDataFrame(rows, MARK), min_votes=9, hot_pairs=hot_pairs), 9)
+    assert {(r.file_a, r.file_b, r.offset): r.votes for r in got.collect()} == votes_of(brute_pairs(rows), 9)
+
+
 @pytest.mark.parametrize("hot_pairs", [0, 50, 10 ** 9])
 def test_two_tables(spark, hot_pairs):
     a, b = random_marks(2), random_marks(3, items=6)
