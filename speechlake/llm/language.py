@@ -17,6 +17,7 @@ BUCKETS = 1 << 14  # rows of the embedding table
 DIMENSIONS = 16
 GRAMS = (2, 3, 4)  # characters of a subword
 ROWS_PER_LANGUAGE = 300  # labelled rows that are fitted or calibrated on, for each language, at most
+PARTS = 16  # groups of tasks that rank the rows of a label first
 STEP = 1 << 20  # characters looked at together
 UNKNOWN = "und"
 
@@ -91,12 +92,18 @@ def has_letter(text: Column) -> Column:
 def labelled_sample(rows: DataFrame, text: str, label: str, key: str, per_language: int, seed: int) -> DataFrame:
     """Up to ``per_language`` rows of each label, by a seeded hash of the key: subword counts, not texts.
 
-    The ranking reads keys and labels only; Spark keeps the first rows of each label before the shuffle.
+    The ranking reads keys and labels only. Spark keeps the first rows of each label in every task; groups of tasks
+    rank them first, then what ``PARTS`` groups keep is ranked, at most ``PARTS * per_language`` rows of a label.
+    The rows chosen do not depend on how the input is split.
     """
-    chosen = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(label).alias("_label")).withColumn(
-        "_rank", F.row_number().over(Window.partitionBy("_label").orderBy(F.xxhash64(F.lit(seed), "_key"), "_key"))
-    ).where(F.col("_rank") <= per_language).select("_key").distinct()
+    order = [F.xxhash64(F.lit(seed), "_key"), F.col("_key")]
+    keys = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(label).alias("_label"),
+        F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("_part"))
+    for within in (["_label", "_part"], ["_label"]):
+        keys = keys.withColumn("_rank", F.row_number().over(Window.partitionBy(*within).orderBy(*order))).where(
+            F.col("_rank") <= per_language)
+    chosen = keys.select("_key").distinct()
 
     @F.pandas_udf("struct<bucket:array<int>,weight:array<float>,n:long>")
     def counted(texts: pd.Series) -> pd.DataFrame:
