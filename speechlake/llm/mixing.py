@@ -24,7 +24,7 @@ def _rows(docs: DataFrame, text: str, doc_id: str, source: str, seed: int) -> Da
 
 
 def capped_targets(sources: DataFrame, weights: tuple[float, ...], repeats: int = REPEATS) -> DataFrame:
-    """``source, source_size, target``: shares of all words by weight, none above ``repeats`` times its source.
+    """The columns of ``sources`` and ``target``: shares of all words by weight, none above ``repeats`` times its source.
 
     Sources come in code point order, null last, and take the weights in turn. With a factor f, a source gets
     the smaller of f times its weight and its cap; f is the one at which the targets add up to all words.
@@ -45,7 +45,7 @@ def capped_targets(sources: DataFrame, weights: tuple[float, ...], repeats: int
     # the first source whose share stays below its cap sets the factor; those before it are at their caps
     free = F.when(F.col("_f") * F.col("_w") <= F.col("_cap"), F.struct("_at", "_f"))
     return factors.withColumn("_factor", F.min(free).over(every)["_f"]).select(
-        "source", "source_size",
+        *sources.columns,
         F.least(F.coalesce(F.col("_factor") * F.col("_w"), F.col("_cap")), F.col("_cap")).alias("target"))
 
 
@@ -86,7 +86,7 @@ def mix_sources(
 ) -> DataFrame:
     """``doc_id, source, size, source_size, target, taken``, one row for each document.
 
-    A source's documents are dealt by hash to shards of about ``shard`` words, where a seeded order
+    A source's documents are dealt by hash to shards of about ``shard`` words (or documents, if more), where a seeded order
     makes them one run of words, cut into equal blocks. Each source gets blocks by Sainte-Laguë from all words,
     and so does each of its shards from the source's blocks. A shard takes itself whole as often as its quota
     allows; which blocks it takes for the rest is a seeded permutation of block numbers in closed form,
@@ -98,7 +98,7 @@ def mix_sources(
     other than the three named are not read. Runs a job: the sizes are written once.
     """
     rows = settle(_rows(docs, text, doc_id, source, seed))
-    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     targets = capped_targets(sums, weights, repeats)
     everything = F.sum("source_size").over(Window.partitionBy(F.lit(0)))
     seats = apportion(targets.withColumn("_all_blocks", F.round(everything / block)).withColumn(
@@ -106,7 +106,7 @@ def mix_sources(
     seats = seats.select(F.col("source").alias("_source"), "blocks")
     sources = settle(targets.join(seats, F.col("source").eqNullSafe(F.col("_source"))).select(
         "source", "source_size", "target", "blocks",
-        F.greatest(F.ceil(F.col("source_size") / shard), F.lit(1)).cast("long").alias("n_shards")))
+        F.ceil(F.greatest("source_size", "n_docs") / shard).cast("long").alias("n_shards")))  # texts may have no words
     near = sources.withColumnRenamed("source", "_source")
     dealt = rows.join(near, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
         "shard", F.pmod(F.xxhash64(F.lit(seed + 1), "draw", "tie"), F.col("n_shards"))
