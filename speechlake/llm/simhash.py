@@ -273,7 +273,7 @@ def _signed(x: int) -> int:
 
 
 def fingerprint_links(fps: DataFrame, masks: list[list[int]], lanes: int, sure: int, maybe: int | None = None) -> DataFrame:
-    """``src, dst, sure`` between distinct fingerprints (column ``fp``, array of longs).
+    """``src, dst, sure`` between distinct fingerprints (column ``fp``, array of longs); ``dst`` named ``src``.
 
     Fingerprints that agree under a mask share a bucket; in it, sure links (distance at most ``sure``) come as a
     spanning forest, and each fingerprint also names its nearest partners up to ``maybe`` bits, so
@@ -302,14 +302,14 @@ def fingerprint_links(fps: DataFrame, masks: list[list[int]], lanes: int, sure:
 
 
 def contracted(edges: DataFrame) -> DataFrame:
-    """Fewer edges with the same components.
+    """Fewer edges with the same components, from ``src, dst`` where ``dst`` is the node that named the partner.
 
     A node's partners in all tables are tied to the smallest of them instead of to the node; as the members of a
-    group share their partners, most of these edges are the same one. A node has at most a few partners for each table.
+    group share their partners, most of these edges are the same one. A node names three partners at most in each
+    bucket part it stands in, however many name it, so the sets stay small also where one text is the model of all others.
     """
-    ends = edges.select(F.least("src", "dst").alias("low"), F.greatest("src", "dst").alias("high"))
-    tied = ends.groupBy("high").agg(F.min("low").alias("src"), F.collect_set("low").alias("_lows"))
-    return tied.select("src", F.explode(F.array_union("_lows", F.array("high"))).alias("dst")).where(
+    tied = edges.groupBy("dst").agg(F.collect_set("src").alias("_named"))
+    return tied.select(F.array_min("_named").alias("src"), F.explode(F.array_union("_named", F.array("dst"))).alias("dst")).where(
         F.col("src") != F.col("dst")).distinct()
 
 
@@ -359,7 +359,12 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_digest")
     classes = settle(rows.groupBy("fp").agg(F.min(place).alias("lead")))
     links = settle(fingerprint_links(classes, sample_masks(LANES, TABLES, BITS), LANES, SURE, MAYBE))
-    unsure = links.where(~F.col("sure")).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    low, high = F.least("src", "dst"), F.greatest("src", "dst")
+    # each pair is checked once; which end named the other is kept
+    unsure = links.where(~F.col("sure")).groupBy(low.alias("low"), high.alias("high")).agg(
+        F.max(F.col("dst") == high).alias("_by_high")).select(
+        F.when(F.col("_by_high"), F.col("low")).otherwise(F.col("high")).alias("src"),
+        F.when(F.col("_by_high"), F.col("high")).otherwise(F.col("low")).alias("dst"))
     ends = unsure.select(F.explode(F.array("src", "dst")).alias("fp")).distinct()
     wanted = ends.join(classes, "fp").select(F.col("fp").alias("_fp"), "lead")
     texts = docs.select(F.col(doc_id).alias("_id"), digest(F.col(text)).alias("_digest"), F.col(text).alias("_text"))

@@ -129,6 +129,29 @@ def test_split_buckets_lose_nothing(spark, monkeypatch):
     assert len(found) == 200 and {r.component for r in found} == {0}
 
 
+def test_one_text_that_all_others_resemble(spark):
+    """Partners are gathered by the end that named them: the common model of many texts gathers few."""
+    rng = np.random.default_rng(8)
+    bits = rng.integers(0, 2, 256).astype(bool)
+    made = [bits] + [bits ^ np.isin(np.arange(256), rng.choice(256, 20, replace=False)) for _ in range(120)]
+    values = [np.packbits(b, bitorder="little").view(np.int64).tolist() for b in made]
+    fps = spark.createDataFrame([(v,) for v in values], "fp array<long>")
+    links = simhash.fingerprint_links(fps, simhash.sample_masks(4, 24, 8), 4, 10, 30).cache()
+    named = [r["count"] for r in links.groupBy("dst").count().collect()]
+    assert max(named) <= 3 * 24
+    found = simhash.connected_components(simhash.contracted(links.select(
+        simhash.hexadecimal(F.col("src")).alias("src"), simhash.hexadecimal(F.col("dst")).alias("dst")))).collect()
+    assert len(found) == len(values) and len({r.component for r in found}) == 1
+
+
+def test_sources_without_words_are_dealt_to_shards(spark):
+    docs = spark.createDataFrame([(k, None if k % 2 else "a b c", "x" if k % 2 else "y") for k in range(60)],
+                                 "doc_id long, text string, source string")
+    rows = mixing.mix_sources(docs, block=4, shard=10).collect()
+    assert len(rows) == 60 and all(r.taken == r.target == 0 for r in rows if r.source == "x")
+    assert sum(r.taken for r in rows) == pytest.approx(90, abs=12)
+
+
 def test_near_copies_go_and_others_stay(odd, empty):
     kept = simhash.drop_near_copies(odd)
     assert kept.columns == odd.columns and simhash.drop_near_copies(empty).count() == 0
