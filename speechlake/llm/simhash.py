@@ -331,7 +331,7 @@ def fingerprint_components(docs: DataFrame, text: str = "text", doc_id: str = "d
     rows = settle(rows.select("doc_id", fingerprints(F.col("_h")).alias("fp")))
     classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     links = fingerprint_links(classes, block_masks(radius + 2, 2), 1, radius)
-    found = connected_components(contracted(links.select(F.col("src")[0].alias("src"), F.col("dst")[0].alias("dst"))))
+    found = connected_components(settle(contracted(links.select(F.col("src")[0].alias("src"), F.col("dst")[0].alias("dst")))))
     named = classes.join(found, F.col("fp")[0] == F.col("node"), "left").withColumn(
         "_of", F.coalesce("component", F.col("fp")[0]))
     lowest = named.groupBy("_of").agg(F.min("low").alias("component_id"))
@@ -377,8 +377,8 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     checked = unsure.join(a, "src").join(b, "dst").where(
         both >= similarity * (F.size("_sa") + F.size("_sb") - both)).select("src", "dst")
     every = links.where("sure").select("src", "dst").unionByName(checked)
-    found = connected_components(contracted(every.select(
-        hexadecimal(F.col("src")).alias("src"), hexadecimal(F.col("dst")).alias("dst"))))
+    found = connected_components(settle(contracted(every.select(
+        hexadecimal(F.col("src")).alias("src"), hexadecimal(F.col("dst")).alias("dst")))))
     named = classes.withColumn("_node", hexadecimal(F.col("fp"))).join(found, F.col("_node") == F.col("node"), "left")
     named = named.withColumn("_of", F.coalesce("component", "_node"))
     leaders = named.groupBy("_of").agg(F.min("lead").alias("leader"))
