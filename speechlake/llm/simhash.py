@@ -195,6 +195,28 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
+def _by_parts(made: Callable[[pd.DataFrame], pa.RecordBatch | None]):
+    """A task that hands whole bucket parts, many at a time, to ``made``."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch.to_pandas())
+            rows += len(held[-1])
+            if rows < FLUSH:
+                continue
+            table = pd.concat(held, ignore_index=True)
+            key = table[["bucket", "part"]].to_numpy()
+            begin = int(np.flatnonzero((key != key[-1]).any(1))[-1]) + 1 if (key != key[-1]).any() else 0
+            if begin and (out := made(table.iloc[:begin])) is not None:
+                yield out
+            held, rows = [table.iloc[begin:]], len(table) - begin
+        if rows and (out := made(pd.concat(held, ignore_index=True))) is not None:
+            yield out
+
+    return task
+
+
 def _compare(lanes: int, sure: int, maybe: int):
     schema = pa.schema([(f"{s}{i}", pa.int64()) for s in "ab" for i in range(lanes)] + [("sure", pa.bool_())])
 
@@ -231,24 +253,8 @@ def _compare(lanes: int, sure: int, maybe: int):
         columns = [pa.array(fps[x, i].view(np.int64)) for x in (a, b) for i in range(lanes)]
         return pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(flag))], schema=schema)
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch.to_pandas())
-            rows += len(held[-1])
-            if rows < FLUSH:
-                continue
-            table = pd.concat(held, ignore_index=True)
-            key = table[["bucket", "part"]].to_numpy()
-            begin = int(np.flatnonzero((key != key[-1]).any(1))[-1]) + 1 if (key != key[-1]).any() else 0
-            if begin and (out := edges(table.iloc[:begin])) is not None:
-                yield out
-            held, rows = [table.iloc[begin:]], len(table) - begin
-        if rows and (out := edges(pd.concat(held, ignore_index=True))) is not None:
-            yield out
-
     ddl = ", ".join([f"{s}{i} long" for s in "ab" for i in range(lanes)] + ["sure boolean"])
-    return task, ddl
+    return _by_parts(edges), ddl
 
 
 def block_masks(blocks: int = 6, keyed: int = 2) -> list[list[int]]:
@@ -341,46 +347,176 @@ def fingerprint_components(docs: DataFrame, text: str = "text", doc_id: str = "d
 
 
 LANES, TABLES, BITS = 4, 24, 14  # 256-bit fingerprints; tables of so many sampled bits
-SURE, MAYBE = 26, 54  # bits: similarity of over 0.85 for certain; as few as 0.68 are looked at again
+NONE, MAYBE = -1, 54  # bits: no distance links unseen; partners of a similarity as low as 0.68 are looked at
+
+
+PARITY = 16  # words of 64 bits: parities of the shingles that fall to each bit
+SAMPLE, OFTEN, MOST = 10000, 4, 100_000  # texts that name frequent shingles, in how many of them, and how many at most
+
+
+def _counted_shingles(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
+    """Frequent shingles of some texts, the rarer first. They only decide an order that is the same for all texts."""
+    every = max(1, docs.count() // SAMPLE)
+    some = docs.select(F.col(text).alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(every)) == 0).distinct()
+    found = with_shingles(some, "_text", shingle, "_h").select(F.explode(F.array_distinct("_h")).alias("s")).groupBy("s").count()
+    often = found.where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "s").limit(MOST).collect()
+    return np.array([r.s for r in reversed(often)], np.int64).view(np.uint64)
+
+
+def sketch(hashes: np.ndarray, often: np.ndarray, similarity: float) -> tuple[int, int, np.ndarray, np.ndarray]:
+    """Key and size of the set of shingles, its parities, and its prefix.
+
+    The prefix is the first ``n - ceil(similarity * n) + 1`` shingles in an order that puts those of ``often`` last:
+    two sets of that Jaccard similarity share one. Parities of two sets differ in at most as many bits as the sets do in shingles.
+    """
+    u = np.unique(np.asarray(hashes, np.int64).view(np.uint64))
+    n = len(u)
+    if not n:
+        return 0, 0, np.zeros(PARITY, np.int64), np.zeros(0, np.int64)
+    bits = np.bincount((_mix(u, 101) % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY).astype(np.uint8) & 1
+    rank = np.zeros(n, np.int64)
+    if len(often):
+        by = np.argsort(often)
+        at = np.minimum(np.searchsorted(often, u, sorter=by), len(often) - 1)
+        rank = np.where(often[by[at]] == u, by[at] + 1, 0)
+    first = np.lexsort((u, rank))[:n - int(np.ceil(similarity * n - 1e-9)) + 1]
+    key = int(_mix(u, 102).sum(dtype=np.uint64).view(np.int64))
+    return key, n, np.packbits(bits, bitorder="little").view(np.int64), u[first].view(np.int64)
+
+
+def sketches(hashes: Column, often: np.ndarray, similarity: float) -> Column:
+    """Struct ``key, n, parity, prefix`` for an array of shingle hashes."""
+
+    @F.pandas_udf("key long, n int, parity array<long>, prefix array<long>")
+    def made(rows: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([sketch(r, often, similarity) for r in rows], columns=["key", "n", "parity", "prefix"])
+
+    return made(hashes)
+
+
+def _near_sets(table: pd.DataFrame, similarity: float) -> np.ndarray:
+    """Row pairs of one bucket part and of different components whose sizes and parities allow the similarity."""
+    parts = table[["bucket", "part"]].to_numpy(np.int64)
+    group = np.cumsum(np.r_[True, (parts[1:] != parts[:-1]).any(1)])
+    n, of = table["n"].to_numpy(np.int64), table["of"].to_numpy(np.int64)
+    parity = np.stack(table["parity"].to_numpy()).view(np.uint64)
+    share = (1 - similarity) / (1 + similarity)
+    found = []
+
+    def keep(a: np.ndarray, b: np.ndarray) -> None:
+        for at in range(0, len(a), FLUSH):
+            x, y = a[at:at + FLUSH], b[at:at + FLUSH]
+            apart = np.bitwise_count(parity[x] ^ parity[y]).sum(1, dtype=np.int64)
+            close = apart <= share * (n[x] + n[y]) + 1e-6
+            found.append(np.stack([x[close], y[close]], 1))
+
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    sizes = np.diff(np.r_[starts, len(group)])
+    small = np.flatnonzero(np.repeat(sizes <= SMALL, sizes))
+    for k in range(1, SMALL):
+        a, b = small[:-k], small[k:]
+        same = group[a] == group[b]
+        if not same.any():
+            break
+        ok = same & (of[a] != of[b]) & (n[a] >= similarity * n[b] - 1e-6)
+        keep(a[ok], b[ok])
+    for g in np.flatnonzero(sizes > SMALL):
+        rows = np.arange(starts[g], starts[g] + sizes[g])
+        for at in range(0, len(rows), 256):  # rows stand by size
+            mine = rows[at:at + 256]
+            reach = rows[at:np.searchsorted(n[rows] * similarity - 1e-6, n[mine[-1]], side="right")]
+            ok = (mine[:, None] < reach[None, :]) & (of[mine][:, None] != of[reach][None, :]) & (
+                n[mine][:, None] >= similarity * n[reach][None, :] - 1e-6)
+            a, b = np.nonzero(ok)
+            keep(mine[a], reach[b])
+    return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+
+def set_candidates(sets: DataFrame, similarity: float) -> DataFrame:
+    """``src, dst`` (keys) of all sets of different components that can be alike to that degree; ``sets`` has ``key, n, parity, prefix, of``.
+
+    Sets meet under each shingle of their prefixes, so no pair of that Jaccard similarity is missed. Shingles whose sets are all of one
+    component already are left out. Buckets of over two chunks are dealt out as pairs of chunks.
+    """
+    keyed = sets.select("key", "of", F.explode("prefix").alias("bucket"))
+    live = settle(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("of").alias("low"), F.max("of").alias("high")).where(
+        F.col("low") < F.col("high")).select("bucket", F.ceil(F.col("size") / CHUNK).cast("long").alias("chunks")))
+    mine = F.pmod(F.xxhash64(F.lit(7), "key"), F.col("chunks"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda j: F.least(mine, j) * F.col("chunks") + F.greatest(mine, j))
+    dealt = settle(keyed.join(live, "bucket").select("key", "bucket", F.explode(
+        F.when(F.col("chunks") <= 2, F.array(F.lit(0).cast("long"))).otherwise(pairs)).alias("part")))
+    order = ["bucket", "part", "n", "key"]
+    met = dealt.join(sets.select("key", "n", "of", "parity"), "key").select(*order, "of", "parity")
+
+    def pairs_of(table: pd.DataFrame) -> pa.RecordBatch | None:
+        keys, at = table["key"].to_numpy(np.int64), _near_sets(table, similarity)
+        if not len(at):
+            return None
+        both = np.unique(np.sort(keys[at], axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["src", "dst"])
+
+    return met.repartition("bucket", "part").sortWithinPartitions(*order).mapInArrow(
+        _by_parts(pairs_of), "src long, dst long").distinct()
+
+
+def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``src, dst`` whose sets (``key, shingles``) have the Jaccard similarity."""
+    a, b = (sets.select(F.col("key").alias(c), F.col("shingles").alias(f"_{c}")) for c in ("src", "dst"))
+    both = F.size(F.array_intersect("_src", "_dst"))
+    return pairs.join(a, "src").join(b, "dst").where(
+        both >= similarity * (F.size("_src") + F.size("_dst") - both)).select("src", "dst")
 
 
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 5,
                 similarity: float = 0.8) -> DataFrame:
     """``doc_id, text_digest, leader_id, leader_digest`` of every row that goes in favour of its group's leader.
 
-    256-bit SimHash of the distinct five-word shingles. Up to 26 differing bits link without another look; up to 54
-    the shingle sets are compared and link at a Jaccard similarity of ``similarity``. The leader of a
+    A first filter, 256-bit SimHash of the distinct five-word shingles, ties most copies: the shingle sets of the nearest
+    partners up to 54 differing bits are compared. Then all sets of different groups that share a shingle of
+    their prefixes are compared, so every pair at a Jaccard similarity of ``similarity`` is linked. The leader of a
     group is its smallest doc_id (null last), then the smallest digest. Runs jobs.
     """
+    often = _counted_shingles(docs, text, shingle)
     rows = docs.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("text_digest"), F.col(text).alias("_text"))
-    rows = with_shingles(rows, "_text", shingle, "_h").select(
-        "doc_id", "text_digest", fingerprints(F.col("_h"), LANES, True).alias("fp"))
-    rows = settle(rows)
+    rows = settle(with_shingles(rows, "_text", shingle, "_h").select(
+        "doc_id", "text_digest", fingerprints(F.col("_h"), LANES, True).alias("fp"), sketches(F.col("_h"), often, similarity).alias("s")
+    ).select("doc_id", "text_digest", "fp", "s.*"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_digest")
     classes = settle(rows.groupBy("fp").agg(F.min(place).alias("lead")))
-    links = settle(fingerprint_links(classes, sample_masks(LANES, TABLES, BITS), LANES, SURE, MAYBE))
+    links = settle(fingerprint_links(classes, sample_masks(LANES, TABLES, BITS), LANES, NONE, MAYBE))
     low, high = F.least("src", "dst"), F.greatest("src", "dst")
     # each pair is checked once; which end named the other is kept
-    unsure = links.where(~F.col("sure")).groupBy(low.alias("low"), high.alias("high")).agg(
+    named_pairs = links.groupBy(low.alias("low"), high.alias("high")).agg(
         F.max(F.col("dst") == high).alias("_by_high")).select(
         F.when(F.col("_by_high"), F.col("low")).otherwise(F.col("high")).alias("src"),
         F.when(F.col("_by_high"), F.col("high")).otherwise(F.col("low")).alias("dst"))
-    ends = unsure.select(F.explode(F.array("src", "dst")).alias("fp")).distinct()
-    wanted = ends.join(classes, "fp").select(F.col("fp").alias("_fp"), "lead")
-    texts = docs.select(F.col(doc_id).alias("_id"), digest(F.col(text)).alias("_digest"), F.col(text).alias("_text"))
-    sets = texts.join(wanted, F.col("_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("_digest") == F.col("lead.text_digest")))
-    sets = settle(with_shingles(sets, "_text", shingle, "_h").groupBy("_fp").agg(
-        F.first(F.array_distinct("_h")).alias("shingles")))
-    a, b = sets.select(F.col("_fp").alias("src"), F.col("shingles").alias("_sa")), sets.select(
-        F.col("_fp").alias("dst"), F.col("shingles").alias("_sb"))
-    both = F.size(F.array_intersect("_sa", "_sb"))
-    checked = unsure.join(a, "src").join(b, "dst").where(
-        both >= similarity * (F.size("_sa") + F.size("_sb") - both)).select("src", "dst")
-    every = links.where("sure").select("src", "dst").unionByName(checked)
+
+    def sets_of(ends: DataFrame) -> DataFrame:
+        """``key, shingles`` for ``key, lead``."""
+        texts = docs.select(F.col(doc_id).alias("_id"), digest(F.col(text)).alias("_digest"), F.col(text).alias("_text"))
+        held = texts.join(ends, F.col("_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("_digest") == F.col("lead.text_digest")))
+        return settle(with_shingles(held, "_text", shingle, "_h").groupBy("key").agg(F.first(F.array_distinct("_h")).alias("shingles")))
+
+    ends = named_pairs.select(F.explode(F.array("src", "dst")).alias("fp")).distinct()
+    sets = sets_of(ends.join(classes, "fp").select(F.col("fp").alias("key"), "lead"))
+    every = alike(named_pairs, sets, similarity)
     found = connected_components(settle(contracted(every.select(
         hexadecimal(F.col("src")).alias("src"), hexadecimal(F.col("dst")).alias("dst")))))
     named = classes.withColumn("_node", hexadecimal(F.col("fp"))).join(found, F.col("_node") == F.col("node"), "left")
-    named = named.withColumn("_of", F.coalesce("component", "_node"))
+    named = settle(named.select("fp", "lead", F.coalesce("component", "_node").alias("_of")))
+    # one row for each set of shingles; the sets of one fingerprint are of one group
+    distinct = rows.where(F.col("n") > 0).groupBy("key").agg(
+        F.min(place).alias("lead"), *[F.first(c).alias(c) for c in ("fp", "n", "parity", "prefix")])
+    distinct = settle(distinct.join(named.select("fp", "_of"), "fp").withColumn("of", F.xxhash64("_of")).drop("fp"))
+    pairs = settle(set_candidates(distinct, similarity))
+    ends = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+    further = alike(pairs, sets_of(ends.join(distinct.select("key", "lead"), "key")), similarity)
+    of = distinct.select("key", "_of")
+    further = settle(further.join(of.select(F.col("key").alias("src"), F.col("_of").alias("_a")), "src").join(
+        of.select(F.col("key").alias("dst"), F.col("_of").alias("_b")), "dst").select(
+        F.least("_a", "_b").alias("src"), F.greatest("_a", "_b").alias("dst")).distinct())
+    joined = connected_components(further).select(F.col("node"), F.col("component").alias("_to"))
+    named = named.join(joined, F.col("_of") == F.col("node"), "left").select("fp", "lead", F.coalesce("_to", "_of").alias("_of"))
     leaders = named.groupBy("_of").agg(F.min("lead").alias("leader"))
     of = named.select(F.col("fp").alias("_fp"), "_of").join(leaders, "_of").select("_fp", "leader")
     return rows.join(of, F.col("fp") == F.col("_fp")).where(place != F.col("leader")).select(

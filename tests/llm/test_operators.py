@@ -330,3 +330,47 @@ def test_split_vector_buckets_lose_nothing(spark, monkeypatch):
     rows = [(k, [1.0, k / 1000, 0.5, 0.25], 1) for k in range(100)]
     got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
     assert all(r.n_links == 99 and r.component_id == 0 for r in got)
+
+def jaccard_leaders(texts, size=5, similarity=0.8):
+    """Plain Python: index of the first text of each text's group."""
+    sets = []
+    for t in texts:
+        w = t.lower().split()
+        sets.append({tuple(w[i:i + size]) for i in range(max(len(w) - size + 1, 1))})
+    parent = list(range(len(texts)))
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and both >= similarity * (len(sets[i]) + len(sets[j]) - both):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(texts))]
+
+
+def family(rng, members, planted, blocks=40):
+    """Variants of one text at about 0.7; of ``planted`` of them there is one more variant at about 0.82."""
+    base = [prose(rng, 5) for _ in range(blocks)]
+
+    def varied(parts, n):
+        out = list(parts)
+        for at in rng.choice(blocks, n, replace=False):
+            words = out[at].split()
+            words[2] = prose(rng, 1)
+            out[at] = " ".join(words)
+        return out
+    made = [varied(base, 4) for _ in range(members)]
+    made += [varied(made[k], 4) for k in range(planted)]
+    return [" ".join(m) for m in made]
+
+
+def test_near_copies_in_a_large_family_match_brute_force(spark):
+    texts = family(np.random.default_rng(22), 500, 120)
+    lead = jaccard_leaders(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect())
+    assert 400 < len(kept) < 560 and kept == sorted(set(lead))
