@@ -352,6 +352,24 @@ def jaccard_leaders(texts, size=5, similarity=0.8):
     return [root(i) for i in range(len(texts))]
 
 
+def short_pairs(rng):
+    """Texts of 8 to 11 words, and each with a word more: 4 of 5 up to 7 of 8 shingles are common."""
+    texts = []
+    for k in range(160):
+        first = prose(rng, 8 + k % 4)
+        texts += [first, first + " " + prose(rng, 1)]
+    return texts
+
+
+def test_near_copies_of_short_texts_match_brute_force(spark):
+    texts = short_pairs(np.random.default_rng(21))
+    lead = jaccard_leaders(texts)
+    assert sum(k != r for k, r in enumerate(lead)) == 160
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect())
+    assert kept == sorted(set(lead))
+
+
 def family(rng, members, planted, blocks=40):
     """Variants of one text at about 0.7; of ``planted`` of them there is one more variant at about 0.82."""
     base = [prose(rng, 5) for _ in range(blocks)]
