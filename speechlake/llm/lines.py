@@ -1,4 +1,4 @@
-"""Remove repeated multi-line passages, cut where the content says so."""
+"""Remove repeated multi-line passages."""
 
 from __future__ import annotations
 
@@ -8,73 +8,57 @@ from pyspark.sql import functions as F
 from speechlake.llm.text import digest
 from speechlake.operators.checkpoints import settle
 
-WINDOW = 2  # lines under the rolling hash
-ONE_IN = 2  # one in so many places is a possible boundary
-LEAST = 2  # a chunk of fewer lines is never removed
+LEAST = 2  # lines; a repeated passage of fewer is never removed
 
 
-def _boundaries(hashes: Column, window: int, one_in: int) -> Column:
-    """Numbers of the lines that end a chunk, from 1.
+def line_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = LEAST, chunk: bool = False) -> DataFrame:
+    """``place, h, g`` of every ``least`` lines that follow each other, and their text; those of white space alone are left out."""
+    lines = F.split(F.col(text), "\n")
+    rows = docs.where(F.col(text).isNotNull()).select(
+        F.col(doc_id).alias("doc"), digest(F.col(text)).alias("text_digest"), lines.alias("_lines")
+    ).where(F.size("_lines") >= least)
 
-    A line may end one if the hash of the last ``window`` line hashes is divisible by ``one_in``, and does if the
-    line before may not. Both depend on the lines nearby alone, so a passage is cut alike wherever it stands.
-    """
-    def may(i: Column) -> Column:
-        rolled = F.xxhash64(F.slice(hashes, F.greatest(i - window + 1, F.lit(1)), F.least(i, F.lit(window))))
-        return F.pmod(rolled, F.lit(one_in)) == 0
+    def window(i: Column) -> Column:
+        held = F.slice("_lines", i, least)
+        said = [F.array_join(held, "\n").alias("chunk")] if chunk else []
+        return F.struct(i.alias("start"), F.xxhash64(held).alias("h"), F.xxhash64(F.lit(1), held).alias("g"),
+                        F.exists(held, lambda x: x.rlike(r"\S")).alias("said"), *said)
 
-    n = F.size(hashes)
-    inner = F.filter(F.sequence(F.lit(1), n), lambda i: (i < n) & (i > 1) & may(i) & ~may(F.greatest(i - 1, F.lit(1))))
-    return F.concat(inner, F.array(n))
+    rows = rows.select("doc", "text_digest", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size("_lines") - least + 1), window)).alias("w")).where("w.said")
+    place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_digest", F.col("w.start").alias("start"))
+    return rows.select(place.alias("place"), "w.h", "w.g", *(["w.chunk"] if chunk else []))
 
 
-def line_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW,
-                one_in: int = ONE_IN) -> DataFrame:
-    """``doc, text_digest, start, n_lines, chunk``: the chunks of every text, start counted in lines from 1."""
-    rows = docs.where(F.col(text).isNotNull()).select(
-        F.col(doc_id).alias("doc"), digest(F.col(text)).alias("text_digest"),
-        F.split(F.col(text), "\n").alias("_lines"))
-    rows = rows.withColumn("_hashes", F.transform("_lines", lambda x: F.xxhash64(x)))
-    rows = rows.withColumn("_ends", _boundaries(F.col("_hashes"), window, one_in))
-    spans = F.zip_with(F.concat(F.array(F.lit(0)), F.slice("_ends", F.lit(1), F.size("_ends") - 1)), "_ends",
-                       lambda before, end: F.struct((before + 1).alias("start"), (end - before).alias("n_lines")))
-    return rows.select("doc", "text_digest", "_lines", F.explode(spans).alias("s")).select(
-        "doc", "text_digest", "s.start", "s.n_lines",
-        F.array_join(F.slice("_lines", F.col("s.start"), F.col("s.n_lines")), "\n").alias("chunk"))
-
-
-def repeated_chunks(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = LEAST,
-                    window: int = WINDOW, one_in: int = ONE_IN) -> DataFrame:
-    """``doc, text_digest, start, n_lines`` of every chunk of ``least`` lines or more that stands earlier too.
-
-    Earlier: a smaller doc_id (null last), then a smaller digest of the text, then a smaller start. Chunks
-    meet by two hashes and are compared byte by byte: if the smallest and the largest text
-    under a key differ, the key is no repetition. Both are partial aggregates, so a chunk that
-    a third of the documents share is one row from each task. Chunks of white space alone are left.
+def repeated_windows(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = LEAST) -> DataFrame:
+    """``doc, text_digest, start`` of every ``least`` lines that stand earlier too, without sharing a line.
+
+    Earlier: a smaller doc_id (null last), then a smaller digest of the text, then a smaller start. A longer passage that
+    stands earlier is all of its windows. Windows meet by two hashes and those that repeat are compared byte by byte: if the
+    smallest and the largest text under a key differ, the key is no repetition. Aggregates are partial, so a passage that
+    a third of the documents share is one row from each task.
     """
-    chunks = line_chunks(docs, text, doc_id, window, one_in).where(
-        (F.col("n_lines") >= least) & F.col("chunk").rlike(r"\S"))
-    place = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "text_digest", "start")
-    keyed = chunks.select(F.xxhash64("chunk").alias("h"), F.xxhash64(F.lit(1), "chunk").alias("g"),
-                          place.alias("place"), "n_lines", "chunk")
-    first = settle(keyed.groupBy("h", "g").agg(
-        F.min("place").alias("first"), F.count(F.lit(1)).alias("n"),
-        (F.min("chunk") == F.max("chunk")).alias("same"),
-    ).where((F.col("n") > 1) & F.col("same")).select("h", "g", "first"))
-    return keyed.drop("chunk").join(first, ["h", "g"]).where(F.col("place") != F.col("first")).select(
-        "place.doc", "place.text_digest", "place.start", "n_lines")
+    first = settle(line_windows(docs, text, doc_id, least).groupBy("h", "g").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("h", "g", "first"))
+    met = settle(line_windows(docs, text, doc_id, least, chunk=True).join(first, ["h", "g"]))
+    same = met.groupBy("h", "g").agg((F.min("chunk") == F.max("chunk")).alias("same")).where("same").select("h", "g")
+    here, there = F.col("place"), F.col("first")
+    own = here["doc"].eqNullSafe(there["doc"]) & (here["text_digest"] == there["text_digest"])
+    return met.select("h", "g", "place", "first").join(same, ["h", "g"]).where(
+        ~own | (here["start"] >= there["start"] + least)).select("place.doc", "place.text_digest", "place.start")
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str | None = "n_chars",
-                counts: bool = False, **options) -> DataFrame:
-    """The documents without their repeated chunks; all rows and columns stay, in no order.
+                counts: bool = False, least: int = LEAST) -> DataFrame:
+    """The documents without their repeated passages of ``least`` lines or more; all rows and columns stay, in no order.
 
-    The first occurrence of a chunk stays. A null text stays null, a text whose chunks all go becomes empty; rows
+    The first occurrence of a passage stays. A null text stays null, a text whose lines all go becomes empty; rows
     with the same doc_id and text are one document and keep the same lines. A column named ``n_chars``
     is set to the new length where a text changed. ``counts`` adds ``n_lines, n_removed``. Runs a job.
     """
-    gone = repeated_chunks(docs, text, doc_id, **options).groupBy("doc", "text_digest").agg(
-        F.array_sort(F.collect_set(F.struct("start", "n_lines"))).alias("__gone")
+    covered = F.flatten(F.transform(F.collect_set("start"), lambda s: F.sequence(s, s + least - 1)))
+    gone = repeated_windows(docs, text, doc_id, least).groupBy("doc", "text_digest").agg(F.transform(
+        F.array_sort(F.array_distinct(covered)), lambda i: F.struct(i.alias("start"), F.lit(1).alias("n_lines"))).alias("__gone")
     ).select(F.col("doc").alias("__doc"), F.col("text_digest").alias("__digest"), "__gone")
     lines = F.split(F.col(text), "\n")
     cut = docs.join(gone, docs[doc_id].eqNullSafe(gone["__doc"]) & (digest(docs[text]) == gone["__digest"]), "left")

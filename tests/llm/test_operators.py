@@ -256,6 +256,30 @@ def test_lines(spark, odd, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def test_repeated_line_runs_match_brute_force(spark):
+    """Passages of 2 to 5 lines between foreign lines, in other documents and in the same one, and runs of one line."""
+    rng = np.random.default_rng(31)
+    passages = [[prose(rng, 3) for _ in range(2 + k % 4)] for k in range(12)]
+    made = {}
+    for k in range(60):
+        body = []
+        for p in rng.choice(12, 3):
+            body += [prose(rng, 3) for _ in range(rng.integers(1, 3))] + passages[p]
+        made[k] = "\n".join(body + [prose(rng, 2)] + (["same line"] * (k % 6) if k < 12 else []))
+    first, kept = {}, {}
+    for k, text in made.items():
+        held, gone = text.split("\n"), set()
+        for i in range(len(held) - 1):
+            doc, at = first.setdefault((held[i], held[i + 1]), (k, i))
+            if doc != k or i >= at + 2:
+                gone |= {i, i + 1}
+        kept[k] = "\n".join(x for i, x in enumerate(held) if i not in gone)
+    docs = spark.createDataFrame(list(made.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in lines.dedup_lines(docs, counts=True).collect()}
+    assert {k: r.text for k, r in got.items()} == kept
+    assert all(r.n_removed == r.n_lines - (len(r.text.split("\n")) if r.text else 0) for r in got.values())
+
+
 def test_pii(spark, odd, empty):
     text = ("mail a.b@c.de, x@y IP 10.0.0.1.2.3.4.5 300.1.1.1 card 4111 1111 1111 1111 or 4111111111111112 "
             "tel +49 (30) 1234567- IBAN DE89 3704 0044 0532 0130 00 GB00WEST12345698765432 ssn 123-45-6789 and 123-45-6780" + " é" * 60 + " 987-65-4321")
