@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speechlake.llm import decontaminate, language, licenses, lines, mixing, pages, pii, simhash, substrings, vectors
+from speechlake.llm import (
+    decontaminate, filters, language, licenses, lines, mixing, pages, pii, secrets, simhash, substrings, vectors, whitening,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,10 +95,39 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of each vector, one row for each component."""
+    rows = _table(spark, sf_dir, "embeddings")
+    white = whitening.whiten(rows, whitening.fit(rows)).select("vec_id", "whitening.*")
+    parts = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part")
+    return white.select("vec_id", "n", "deviation", "identity_error", parts).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", F.expr("try_cast(deviation as bigint)").alias("deviation"), "part.whitened",
+        "part.explained", "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets and linked parts of credentials in each document."""
+    found = secrets.find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+    base = F.filter("secrets", lambda x: x["kind"].isin(*secrets.BASE))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(kind) for kind in secrets.BASE],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("secrets")).alias("spans"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes in every order of the five."""
+    return filters.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources, "op2_licenses": op2_licenses, "op3_simhash": op3_simhash, "op4_language": op4_language,
     "op5_decontaminate": op5_decontaminate, "op6_substrings": op6_substrings, "op7_line_dedup": op7_line_dedup, "op8_page_text": op8_page_text,
     "op9_pii": op9_pii, "op10_near_vectors": op10_near_vectors,
+    "op11_whitening": op11_whitening, "op12_secrets": op12_secrets, "op13_filter_audit": op13_filter_audit,
 }
 
 _OP5 = r"""
@@ -143,4 +174,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM docs LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES = {"op5_decontaminate": _OP5, "op6_substrings": _OP6}
+_OP13 = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM words GROUP BY t),
+said AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+         FROM labels GROUP BY doc_id),
+flags AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, len(w) < 200 AS a,
+    100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+    coalesce(words.doc_id > first_id, words.doc_id IS NULL AND first_id IS NOT NULL) AS e
+  FROM words JOIN firsts USING (t) LEFT JOIN said ON words.doc_id = said.doc_id),
+counted AS (SELECT part, good, toxic, map(['A', 'B', 'C', 'D', 'E'], [a, b, c, d, e]) AS f, count(*) AS n FROM flags GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT [p.x, q.x, r.x, s.x, t.x] AS o FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+judged AS (
+  SELECT part, o, step, o[step] AS x, n, good, toxic, f[o[step]] AS fails,
+    len([y FOR y IN o[:step - 1] IF f[y]]) > 0 AS gone,
+    len([y FOR y IN o IF f[y]]) = 1 AS lone
+  FROM counted, steps),
+totals AS (
+  SELECT part, array_to_string(o, '') AS filter_order, step, x,
+    sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails AND lone THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN fails AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN fails AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM judged GROUP BY part, o, step, x)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM totals
+"""
+
+ORACLES = {"op5_decontaminate": _OP5, "op6_substrings": _OP6, "op13_filter_audit": _OP13}
