@@ -18,7 +18,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest label among the neighbours, hands it to everything that carries the same
     label, and follows labels to their own label, so chains shrink geometrically however long they are.
     Rounds go on until no label changes. Each is written to the shared folder and the one before it is
-    removed. Runs jobs.
+    removed. Runs jobs; the result is settled, so ``discard`` removes it.
     """
     both = settle(edges.select("src", "dst").unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
@@ -44,7 +44,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         labels = moved
         if moved.where(F.col("_old") != F.col("component")).isEmpty():
             discard(both)
-            return moved.select("node", "component")
+            found = moved.select("node", "component")
+            found._settled_at = moved._settled_at
+            return found
 
 
 def occurrence_key(file: Column, start: Column, end: Column) -> Column:
