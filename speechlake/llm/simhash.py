@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from speechlake.llm.text import ascii_lower, digest, split_words
-from speechlake.operators.checkpoints import settle
+from speechlake.operators.checkpoints import discard, settle
 from speechlake.operators.groups import connected_components
 
 CHUNK = 1024  # a bucket of more than twice as many fingerprints is compared in pairs of such parts
 SMALL = 32  # buckets up to this size are compared shift by shift, larger ones block by block
 FLUSH = 1 << 16  # rows compared together
+STEP = 255 * 32  # hashes whose bits are counted together
 
 
 def with_shingles(docs: DataFrame, text: str, size: int, out: str) -> DataFrame:
@@ -30,73 +31,96 @@ def with_shingles(docs: DataFrame, text: str, size: int, out: str) -> DataFrame:
 
 
 def _mix(h: np.ndarray, lane: int) -> np.ndarray:
-    """Another 64 bits for each hash."""
+    """Other 64 bits for each hash."""
     with np.errstate(over="ignore"):
-        z = h + np.uint64(lane) * np.uint64(0x9E3779B97F4A7C15)
+        z = h + np.uint64(lane * 0x9E3779B97F4A7C15 % 2**64)
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return z ^ (z >> np.uint64(31))
 
 
-def fingerprint(hashes: np.ndarray, lanes: int = 1, distinct: bool = False) -> np.ndarray:
+def _lane(h: np.ndarray, lane: int) -> np.ndarray:
+    """The hashes in lane 0; in others, bits of them that are as good for counting."""
+    if not lane:
+        return h
+    with np.errstate(over="ignore"):
+        z = h * np.uint64((lane * 0x9E3779B97F4A7C15 | 1) % 2**64)
+        return (z ^ (z >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) ^ (z >> np.uint64(29))
+
+
+def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
     """``lanes`` 64-bit words; a bit is set if it is in over half of the hashes. No hashes give zero."""
-    h = np.asarray(hashes, np.int64).view(np.uint64)
-    if distinct:
-        h = np.unique(h)
-    out = np.zeros(lanes, np.uint64)
-    for lane in range(lanes):
-        counts = np.zeros(64, np.int64)
-        mixed = h if lane == 0 else _mix(h, lane)
-        for at in range(0, len(h), 1 << 15):
-            part = np.ascontiguousarray(mixed[at:at + (1 << 15)]).view(np.uint8).reshape(-1, 8)
-            counts += np.unpackbits(part, axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out[lane] = np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0]
-    return out
+    h = np.asarray(hashes).view(np.uint64)
+    counts = np.zeros(64 * lanes, np.int64)
+    for at in range(0, len(h), STEP):
+        part = h[at:at + STEP]
+        mixed = np.stack([_lane(part, lane) for lane in range(lanes)], 1)
+        bits = np.zeros((-(-len(part) // 255) * 255, 64 * lanes), np.uint8)
+        bits[:len(part)] = np.unpackbits(mixed.view(np.uint8), axis=1, bitorder="little")
+        counts += bits.reshape(-1, 255, 64 * lanes).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)  # a sum of 255 bits fits a byte
+    return np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)
 
 
-def fingerprints(hashes: Column, lanes: int = 1, distinct: bool = False) -> Column:
-    """Array of ``lanes`` longs for an array of shingle hashes."""
+def fingerprints(hashes: Column) -> Column:
+    """Array of one long for an array of shingle hashes."""
 
     @F.pandas_udf("array<long>")
     def made(rows: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(r, lanes, distinct).view(np.int64) for r in rows])
+        return pd.Series([fingerprint(r).view(np.int64) for r in rows])
 
     return made(hashes)
 
 
 # --- comparing
 
-def _counted(diff: Callable[[int], np.ndarray], planes: int, radius: int) -> tuple[np.ndarray, list[np.ndarray]] | None:
-    """Lanes within the radius, as set bits, and the counters; None if every lane left it.
+def _counted(diff: Callable[[int, np.ndarray], np.ndarray], planes: int, radius: int,
+             over: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray] | None:
+    """Lanes within the radius, as set bits, the counters, and which words they are of; None if every lane left it.
 
-    ``diff(b)`` has a set bit for every lane that differs in plane b. Counters are vertical: bit i of all lanes'
-    counts is one array. They start so that the last carry comes exactly when a count passes the radius. Three
-    planes at a time go through a full adder, so two additions do for three planes.
+    ``diff(b, at)`` has a set bit for every lane of the words ``at`` that differs in plane b; lanes set in ``over`` do not count from
+    the start. Counters are vertical: bit i of all lanes' counts is one array. They start so that the last carry comes exactly when a
+    count passes the radius. Three planes at a time go through a full adder, so two additions do for three planes. Words
+    whose lanes are all beyond the radius are abandoned: once they are half of the words left, the rest is packed together.
     """
-    first = diff(0)
+    at = np.arange(over.shape[-1])
     width = max(1, radius.bit_length())
     offset = (1 << width) - 1 - radius
-    counters = [np.full_like(first, np.uint64(0xFFFFFFFFFFFFFFFF) if offset >> i & 1 else np.uint64(0))
-                for i in range(width)]
-    over = np.zeros_like(first)
+    state = None
 
     def add(carry: np.ndarray, weight: int) -> None:
+        nonlocal over
         for i in range(weight, width):
-            after = counters[i] & carry
-            counters[i] = counters[i] ^ carry
+            after = state[i] & carry
+            state[i] = state[i] ^ carry
             carry = after
-        np.bitwise_or(over, carry, out=over)
-
-    for b in range(0, planes - 2, 3):
-        x, y, z = first if b == 0 else diff(b), diff(b + 1), diff(b + 2)
+        over = over | carry
+
+    for b in range(0, planes, 3):
+        if b == 0 or b > radius:
+            live = np.bitwise_and.reduce(over, axis=tuple(range(over.ndim - 1))) != np.uint64(0xFFFFFFFFFFFFFFFF)
+            left = np.count_nonzero(live)
+            if not left:
+                return None
+            if 2 * left <= len(at):
+                at, over = at[live], over[..., live]
+                state = state and [c[..., live] for c in state]
+        x = diff(b, at)
+        if state is None:
+            state = [np.full_like(x, np.uint64(0xFFFFFFFFFFFFFFFF) if offset >> i & 1 else np.uint64(0)) for i in range(width)]
+        if b + 2 >= planes:
+            add(x, 0)
+            if b + 1 < planes:
+                add(diff(b + 1, at), 0)
+            break
+        y, z = diff(b + 1, at), diff(b + 2, at)
         half = x ^ y
         add(half ^ z, 0)
-        add((x & y) | (z & half), 1) if width > 1 else np.bitwise_or(over, (x & y) | (z & half), out=over)
-        if b % 12 == 0 and b > radius and not np.bitwise_not(over).any():
-            return None
-    for b in range(planes - planes % 3, planes):
-        add(diff(b), 0)
-    return ~over, counters
+        carry = (x & y) | (z & half)
+        if width > 1:
+            add(carry, 1)
+        else:
+            over = over | carry
+    return ~over, state, at
 
 
 def _distances(counters: list[np.ndarray], radius: int, where: tuple[np.ndarray, ...]) -> np.ndarray:
@@ -107,8 +131,8 @@ def _distances(counters: list[np.ndarray], radius: int, where: tuple[np.ndarray,
     return total - ((1 << len(counters)) - 1 - radius)
 
 
-def _lanes(bits: np.ndarray, n: int) -> np.ndarray:
-    return np.unpackbits(bits.view(np.uint8), axis=-1, bitorder="little")[..., :n]
+def _lanes(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(np.ascontiguousarray(bits).view(np.uint8), axis=-1, bitorder="little")
 
 
 def _planes(fps: np.ndarray, n: int) -> np.ndarray:
@@ -140,45 +164,49 @@ def _by_shift(fps, group, rows, radius):
         if not same.any():
             return
         words, rest = divmod(k, 64)
-        near = np.packbits(np.r_[same, np.zeros(-len(same) % 64, bool)], bitorder="little").view(np.uint64)
-        width = len(near)
+        # lanes beyond the last row and of other groups do not count
+        over = np.packbits(np.r_[~same, np.ones(-len(same) % 64, bool)], bitorder="little").view(np.uint64)
 
-        def diff(b, words=words, rest=rest, width=width):
+        def diff(b, at, words=words, rest=rest):
             p = planes[b]
-            moved = p[words:] >> np.uint64(rest)
+            moved = p[at + words] >> np.uint64(rest)
             if rest:
-                moved[:-1] |= p[words + 1:] << np.uint64(64 - rest)
-            # lanes beyond the last row and of other groups count as far away from the first plane on
-            return (p[:width] ^ moved[:width])
+                further = at + words + 1
+                moved |= np.where(further < len(p), p[np.minimum(further, len(p) - 1)], np.uint64(0)) << np.uint64(64 - rest)
+            return p[at] ^ moved
 
-        got = _counted(diff, len(planes), radius)
+        got = _counted(diff, len(planes), radius, over)
         if got is None:
             continue
-        at = np.flatnonzero(_lanes(got[0][None, :] & near[None, :], len(same))[0])
-        if len(at):
-            yield rows[at], rows[at + k], _distances(got[1], radius, (at,))
+        near, counters, at = got
+        word, bit = np.divmod(np.flatnonzero(_lanes(near[None, :])[0]), 64)
+        if len(word):
+            first = at[word] * 64 + bit
+            yield rows[first], rows[first + k], _distances(counters, radius, (word * 64 + bit,))
 
 
 def _by_block(fps, rows, radius, queries: int = 256):
     """A large group: blocks of queries against all rows of the group before them and in their block."""
     n, planes = len(rows), _planes(fps[rows], len(rows))
     ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    for at in range(0, n, queries):
-        mine = np.ascontiguousarray(fps[rows[at:at + queries]])
+    for begin in range(0, n, queries):
+        mine = np.ascontiguousarray(fps[rows[begin:begin + queries]])
         bits = np.unpackbits(mine.view(np.uint8), axis=1, bitorder="little").astype(bool)
-        width = -(-min(n, at + queries) // 64)
+        width = -(-min(n, begin + queries) // 64)
+        later = np.arange(width * 64)[None, :] >= np.arange(begin, begin + len(mine))[:, None]  # itself and what follows it
+        over = np.packbits(later, axis=1, bitorder="little").view(np.uint64)
 
-        def diff(b, bits=bits, width=width):
-            return planes[b][None, :width] ^ np.where(bits[:, b], ones, np.uint64(0))[:, None]
+        def diff(b, at, bits=bits):
+            return planes[b][None, at] ^ np.where(bits[:, b], ones, np.uint64(0))[:, None]
 
-        got = _counted(diff, len(planes), radius)
+        got = _counted(diff, len(planes), radius, over)
         if got is None:
             continue
-        q, lane = np.nonzero(_lanes(got[0], min(n, at + queries)))
-        before = lane < q + at
-        q, lane = q[before], lane[before]
+        near, counters, at = got
+        q, lane = np.nonzero(_lanes(near))
         if len(q):
-            yield rows[lane], rows[q + at], _distances(got[1], radius, (q, lane))
+            word, bit = np.divmod(lane, 64)
+            yield rows[at[word] * 64 + bit], rows[q + begin], _distances(counters, radius, (q, lane))
 
 
 def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -284,7 +312,7 @@ def fingerprint_links(fps: DataFrame, masks: list[list[int]], lanes: int, sure:
     Fingerprints that agree under a mask share a bucket; in it, sure links (distance at most ``sure``) come as a
     spanning forest, and each fingerprint also names its nearest partners up to ``maybe`` bits, so
     a bucket gives rows in proportion to its size. Buckets of over two chunks are dealt out as
-    pairs of chunks: each pair meets in a task of its own and none is left out.
+    pairs of chunks: each pair meets in a task of its own and none is left out. Runs jobs; the result is settled.
     """
     maybe = sure if maybe is None else maybe
     keys = F.array(*[F.xxhash64(F.lit(t), *[F.col("fp")[i].bitwiseAND(F.lit(_signed(m))) for i, m in enumerate(mask)])
@@ -303,8 +331,10 @@ def fingerprint_links(fps: DataFrame, masks: list[list[int]], lanes: int, sure:
     task, ddl = _compare(lanes, sure, maybe)
     order = ["bucket", "part", *[f"f{i}" for i in range(lanes)]]
     found = dealt.select(*order).repartition("bucket", "part").sortWithinPartitions(*order).mapInArrow(task, ddl)
-    return found.groupBy(*[f"{s}{i}" for s in "ab" for i in range(lanes)]).agg(F.max("sure").alias("sure")).select(
-        F.array(*[f"a{i}" for i in range(lanes)]).alias("src"), F.array(*[f"b{i}" for i in range(lanes)]).alias("dst"), "sure")
+    links = settle(found.groupBy(*[f"{s}{i}" for s in "ab" for i in range(lanes)]).agg(F.max("sure").alias("sure")).select(
+        F.array(*[f"a{i}" for i in range(lanes)]).alias("src"), F.array(*[f"b{i}" for i in range(lanes)]).alias("dst"), "sure"))
+    discard(hot)
+    return links
 
 
 def contracted(edges: DataFrame) -> DataFrame:
@@ -337,7 +367,10 @@ def fingerprint_components(docs: DataFrame, text: str = "text", doc_id: str = "d
     rows = settle(rows.select("doc_id", fingerprints(F.col("_h")).alias("fp")))
     classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     links = fingerprint_links(classes, block_masks(radius + 2, 2), 1, radius)
-    found = connected_components(settle(contracted(links.select(F.col("src")[0].alias("src"), F.col("dst")[0].alias("dst")))))
+    edges = settle(contracted(links.select(F.col("src")[0].alias("src"), F.col("dst")[0].alias("dst"))))
+    discard(links)
+    found = connected_components(edges)
+    discard(edges)
     named = classes.join(found, F.col("fp")[0] == F.col("node"), "left").withColumn(
         "_of", F.coalesce("component", F.col("fp")[0]))
     lowest = named.groupBy("_of").agg(F.min("low").alias("component_id"))
@@ -350,48 +383,103 @@ LANES, TABLES, BITS = 4, 24, 14  # 256-bit fingerprints; tables of so many sampl
 NONE, MAYBE = -1, 54  # bits: no distance links unseen; partners of a similarity as low as 0.68 are looked at
 
 
-PARITY = 16  # words of 64 bits: parities of the shingles that fall to each bit
+PARITY = 16  # words of 64 bits: parities that go to every bucket
 SAMPLE, OFTEN, MOST = 10000, 4, 100_000  # texts that name frequent shingles, in how many of them, and how many at most
 
 
-def _counted_shingles(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
+def word_hashes(text: Column) -> Column:
+    """A long for each word of the text, A-Z in lower case."""
+    return F.transform(split_words(ascii_lower(text)), lambda w: F.xxhash64(w))
+
+
+def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
+    """Distinct hashes of every run of ``size`` word hashes, sorted; of all of them if there are fewer, of none if there are none."""
+    w = np.asarray(words, np.int64).view(np.uint64)
+    size = min(size, len(w))
+    if not size:
+        return np.zeros(0, np.uint64)
+    h = np.zeros(len(w) - size + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        w = _mix(w, 1)
+        for k in range(size):
+            h = h * np.uint64(0x100000001B3) + w[k:len(w) - size + 1 + k]
+    return np.unique(_mix(h, 2))
+
+
+def _frequent_shingles(docs: DataFrame, text: str, shingle: int) -> np.ndarray:
     """Frequent shingles of some texts, the rarer first. They only decide an order that is the same for all texts."""
     every = max(1, docs.count() // SAMPLE)
     some = docs.select(F.col(text).alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(every)) == 0).distinct()
-    found = with_shingles(some, "_text", shingle, "_h").select(F.explode(F.array_distinct("_h")).alias("s")).groupBy("s").count()
+    found = some.select(F.explode(_shingles(word_hashes(F.col("_text")), shingle)).alias("s")).groupBy("s").count()
     often = found.where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "s").limit(MOST).collect()
     return np.array([r.s for r in reversed(often)], np.int64).view(np.uint64)
 
 
-def sketch(hashes: np.ndarray, often: np.ndarray, similarity: float) -> tuple[int, int, np.ndarray, np.ndarray]:
-    """Key and size of the set of shingles, its parities, and its prefix.
+def _shingles(words: Column, shingle: int) -> Column:
+    @F.pandas_udf("array<long>")
+    def made(rows: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(r, shingle).view(np.int64) for r in rows])
+
+    return made(words)
+
+
+def parities(u: np.ndarray, bits: int) -> np.ndarray:
+    """Parity of the number of hashes that fall to each of ``bits`` (a power of two), as longs.
+
+    Parities of two sets differ in at most as many bits as the sets do in members. Half as many bits are the XOR of the halves.
+    """
+    at = (u >> np.uint64(8) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1, bitorder="little").view(np.int64)
+
+
+def sketch_bits(n: int) -> int:
+    """Bits of the sketch of a set of ``n``: a power of two, at least twice its size."""
+    return max(64, 1 << (2 * n - 1).bit_length())
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    while len(sketch) > words:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
+
 
-    The prefix is the first ``n - ceil(similarity * n) + 1`` shingles in an order that puts those of ``often`` last:
-    two sets of that Jaccard similarity share one. Parities of two sets differ in at most as many bits as the sets do in shingles.
+def allowed(a, b, similarity: float):
+    """In how many members two sets of these sizes may differ at that Jaccard similarity."""
+    return (1 - similarity) / (1 + similarity) * (a + b) + 1e-6
+
+
+def prefix(u: np.ndarray, often: np.ndarray, by: np.ndarray, similarity: float) -> np.ndarray:
+    """The first ``n - ceil(similarity * n) + 1`` shingles in an order that puts those of ``often`` last.
+
+    Two sets of that Jaccard similarity share one of them.
     """
-    u = np.unique(np.asarray(hashes, np.int64).view(np.uint64))
-    n = len(u)
-    if not n:
-        return 0, 0, np.zeros(PARITY, np.int64), np.zeros(0, np.int64)
-    bits = np.bincount((_mix(u, 101) % np.uint64(64 * PARITY)).astype(np.int64), minlength=64 * PARITY).astype(np.uint8) & 1
-    rank = np.zeros(n, np.int64)
-    if len(often):
-        by = np.argsort(often)
-        at = np.minimum(np.searchsorted(often, u, sorter=by), len(often) - 1)
-        rank = np.where(often[by[at]] == u, by[at] + 1, 0)
-    first = np.lexsort((u, rank))[:n - int(np.ceil(similarity * n - 1e-9)) + 1]
-    key = int(_mix(u, 102).sum(dtype=np.uint64).view(np.int64))
-    return key, n, np.packbits(bits, bitorder="little").view(np.int64), u[first].view(np.int64)
-
-
-def sketches(hashes: Column, often: np.ndarray, similarity: float) -> Column:
-    """Struct ``key, n, parity, prefix`` for an array of shingle hashes."""
-
-    @F.pandas_udf("key long, n int, parity array<long>, prefix array<long>")
+    many = len(u) - int(np.ceil(similarity * len(u) - 1e-9)) + 1
+    if not len(often) or not len(u):
+        return u[:many]
+    at = np.minimum(np.searchsorted(often, u, sorter=by), len(often) - 1)
+    known = often[by[at]] == u
+    rare = u[~known]
+    if len(rare) < many:
+        rank = by[at[known]]
+        rare = np.r_[rare, u[known][np.argsort(rank, kind="stable")]]
+    return rare[:many]
+
+
+def _described(often: np.ndarray, shingle: int, similarity: float):
+    """UDF from word hashes to what the stage needs of a text: fingerprint, key and size of its set, prefix and sketches."""
+    by = np.argsort(often)
+
+    @F.pandas_udf("fp array<long>, key long, n int, parity array<long>, prefix array<long>, sketch array<long>")
     def made(rows: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([sketch(r, often, similarity) for r in rows], columns=["key", "n", "parity", "prefix"])
+        out = []
+        for r in rows:
+            u = shingle_set(r, shingle)
+            key = int(u.sum(dtype=np.uint64).view(np.int64))
+            out.append((fingerprint(u, LANES).view(np.int64), key, len(u), parities(u, 64 * PARITY),
+                        prefix(u, often, by, similarity).view(np.int64), parities(u, sketch_bits(len(u)))))
+        return pd.DataFrame(out, columns=["fp", "key", "n", "parity", "prefix", "sketch"])
 
-    return made(hashes)
+    return made
 
 
 def _near_sets(table: pd.DataFrame, similarity: float) -> np.ndarray:
@@ -400,14 +488,13 @@ def _near_sets(table: pd.DataFrame, similarity: float) -> np.ndarray:
     group = np.cumsum(np.r_[True, (parts[1:] != parts[:-1]).any(1)])
     n, of = table["n"].to_numpy(np.int64), table["of"].to_numpy(np.int64)
     parity = np.stack(table["parity"].to_numpy()).view(np.uint64)
-    share = (1 - similarity) / (1 + similarity)
     found = []
 
     def keep(a: np.ndarray, b: np.ndarray) -> None:
         for at in range(0, len(a), FLUSH):
             x, y = a[at:at + FLUSH], b[at:at + FLUSH]
             apart = np.bitwise_count(parity[x] ^ parity[y]).sum(1, dtype=np.int64)
-            close = apart <= share * (n[x] + n[y]) + 1e-6
+            close = apart <= allowed(n[x], n[y], similarity)
             found.append(np.stack([x[close], y[close]], 1))
 
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
@@ -455,8 +542,24 @@ def set_candidates(sets: DataFrame, similarity: float) -> DataFrame:
         both = np.unique(np.sort(keys[at], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["src", "dst"])
 
-    return met.repartition("bucket", "part").sortWithinPartitions(*order).mapInArrow(
-        _by_parts(pairs_of), "src long, dst long").distinct()
+    found = settle(met.repartition("bucket", "part").sortWithinPartitions(*order).mapInArrow(
+        _by_parts(pairs_of), "src long, dst long").distinct())
+    discard(live)
+    discard(dealt)
+    return found
+
+
+def sketched(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``src, dst`` that sketches in proportion to their sets (``key, n, sketch``) leave possible; none that is alike is lost."""
+    a, b = (sets.select(F.col("key").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}")) for c in ("src", "dst"))
+
+    @F.pandas_udf("boolean")
+    def possible(na: pd.Series, nb: pd.Series, sa: pd.Series, sb: pd.Series) -> pd.Series:
+        least = [min(len(x), len(y)) for x, y in zip(sa, sb)]
+        apart = [int(np.bitwise_count(folded(x.view(np.uint64), k) ^ folded(y.view(np.uint64), k)).sum()) for x, y, k in zip(sa, sb, least)]
+        return pd.Series(np.array(apart) <= allowed(na.to_numpy(), nb.to_numpy(), similarity))
+
+    return pairs.join(a, "src").join(b, "dst").where(possible("n_src", "n_dst", "s_src", "s_dst")).select("src", "dst")
 
 
 def alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -476,57 +579,76 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     their prefixes are compared, so every pair at a Jaccard similarity of ``similarity`` is linked. The leader of a
     group is its smallest doc_id (null last), then the smallest digest. Runs jobs.
     """
-    often = _counted_shingles(docs, text, shingle)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("text_digest"), F.col(text).alias("_text"))
-    rows = settle(with_shingles(rows, "_text", shingle, "_h").select(
-        "doc_id", "text_digest", fingerprints(F.col("_h"), LANES, True).alias("fp"), sketches(F.col("_h"), often, similarity).alias("s")
-    ).select("doc_id", "text_digest", "fp", "s.*"))
+    often = _frequent_shingles(docs, text, shingle)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_digest")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), digest(F.col(text)).alias("text_digest"), F.col(text).alias("_text"))
+    described = settle(texts.select("doc_id", "text_digest", _described(often, shingle, similarity)(
+        word_hashes(F.col("_text"))).alias("s")).select("doc_id", "text_digest", "s.*"))
+    rows = settle(described.select("doc_id", "text_digest", "fp"))
     classes = settle(rows.groupBy("fp").agg(F.min(place).alias("lead")))
-    links = settle(fingerprint_links(classes, sample_masks(LANES, TABLES, BITS), LANES, NONE, MAYBE))
+    # one row for each set of shingles
+    distinct = settle(described.where(F.col("n") > 0).groupBy("key").agg(
+        F.min(place).alias("lead"), *[F.first(c).alias(c) for c in ("fp", "n", "parity", "prefix", "sketch")]))
+    discard(described)
+
+    def sets_of(ends: DataFrame) -> DataFrame:
+        """``key, shingles`` for ``key, lead``."""
+        held = texts.join(ends, texts["doc_id"].eqNullSafe(F.col("lead.doc_id")) & (F.col("text_digest") == F.col("lead.text_digest")))
+        return settle(held.dropDuplicates(["key"]).select("key", _shingles(word_hashes(F.col("_text")), shingle).alias("shingles")))
+
+    def verified(pairs: DataFrame, leads: DataFrame) -> DataFrame:
+        """The alike ones of ``src, dst``, keys of ``leads`` (``key, lead``)."""
+        ends = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
+        sets = sets_of(ends.join(leads, "key"))
+        found = settle(alike(pairs, sets, similarity))
+        discard(sets)
+        return found
+
+    links = fingerprint_links(classes, sample_masks(LANES, TABLES, BITS), LANES, NONE, MAYBE)
     low, high = F.least("src", "dst"), F.greatest("src", "dst")
     # each pair is checked once; which end named the other is kept
     named_pairs = links.groupBy(low.alias("low"), high.alias("high")).agg(
         F.max(F.col("dst") == high).alias("_by_high")).select(
         F.when(F.col("_by_high"), F.col("low")).otherwise(F.col("high")).alias("src"),
         F.when(F.col("_by_high"), F.col("high")).otherwise(F.col("low")).alias("dst"))
-
-    def sets_of(ends: DataFrame) -> DataFrame:
-        """``key, shingles`` for ``key, lead``."""
-        texts = docs.select(F.col(doc_id).alias("_id"), digest(F.col(text)).alias("_digest"), F.col(text).alias("_text"))
-        held = texts.join(ends, F.col("_id").eqNullSafe(F.col("lead.doc_id")) & (F.col("_digest") == F.col("lead.text_digest")))
-        return settle(with_shingles(held, "_text", shingle, "_h").groupBy("key").agg(F.first(F.array_distinct("_h")).alias("shingles")))
-
-    ends = named_pairs.select(F.explode(F.array("src", "dst")).alias("fp")).distinct()
-    sets = sets_of(ends.join(classes, "fp").select(F.col("fp").alias("key"), "lead"))
-    every = alike(named_pairs, sets, similarity)
-    found = connected_components(settle(contracted(every.select(
-        hexadecimal(F.col("src")).alias("src"), hexadecimal(F.col("dst")).alias("dst")))))
+    every = verified(named_pairs, classes.select(F.col("fp").alias("key"), "lead"))
+    discard(links)
+    edges = settle(contracted(every.select(hexadecimal(F.col("src")).alias("src"), hexadecimal(F.col("dst")).alias("dst"))))
+    found = connected_components(edges)
     named = classes.withColumn("_node", hexadecimal(F.col("fp"))).join(found, F.col("_node") == F.col("node"), "left")
     named = settle(named.select("fp", "lead", F.coalesce("component", "_node").alias("_of")))
-    # one row for each set of shingles; the sets of one fingerprint are of one group
-    distinct = rows.where(F.col("n") > 0).groupBy("key").agg(
-        F.min(place).alias("lead"), *[F.first(c).alias(c) for c in ("fp", "n", "parity", "prefix")])
-    distinct = settle(distinct.join(named.select("fp", "_of"), "fp").withColumn("of", F.xxhash64("_of")).drop("fp"))
-    pairs = settle(set_candidates(distinct, similarity))
-    ends = pairs.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
-    further = alike(pairs, sets_of(ends.join(distinct.select("key", "lead"), "key")), similarity)
-    of = distinct.select("key", "_of")
-    further = settle(further.join(of.select(F.col("key").alias("src"), F.col("_of").alias("_a")), "src").join(
+    for done in (every, edges, found, classes):
+        discard(done)
+    # the sets of one fingerprint are of one group
+    of = settle(distinct.select("key", "fp").join(named.select("fp", "_of"), "fp").select("key", "_of"))
+    grouped = settle(distinct.select("key", "n", "parity", "prefix").join(of.select("key", F.xxhash64("_of").alias("of")), "key"))
+    met = set_candidates(grouped, similarity)
+    discard(grouped)
+    pairs = settle(sketched(met, distinct, similarity))
+    more = verified(pairs, distinct.select("key", "lead"))
+    for done in (met, pairs, distinct):
+        discard(done)
+    further = settle(more.join(of.select(F.col("key").alias("src"), F.col("_of").alias("_a")), "src").join(
         of.select(F.col("key").alias("dst"), F.col("_of").alias("_b")), "dst").select(
         F.least("_a", "_b").alias("src"), F.greatest("_a", "_b").alias("dst")).distinct())
-    joined = connected_components(further).select(F.col("node"), F.col("component").alias("_to"))
-    named = named.join(joined, F.col("_of") == F.col("node"), "left").select("fp", "lead", F.coalesce("_to", "_of").alias("_of"))
-    leaders = named.groupBy("_of").agg(F.min("lead").alias("leader"))
-    of = named.select(F.col("fp").alias("_fp"), "_of").join(leaders, "_of").select("_fp", "leader")
-    return rows.join(of, F.col("fp") == F.col("_fp")).where(place != F.col("leader")).select(
-        "doc_id", "text_digest", F.col("leader.doc_id").alias("leader_id"), F.col("leader.text_digest").alias("leader_digest"))
+    joined = connected_components(further)
+    last = settle(named.join(joined.select("node", F.col("component").alias("_to")), F.col("_of") == F.col("node"), "left").select(
+        "fp", "lead", F.coalesce("_to", "_of").alias("_of")))
+    for done in (more, of, further, joined, named):
+        discard(done)
+    leaders = last.groupBy("_of").agg(F.min("lead").alias("leader"))
+    leads = last.select(F.col("fp").alias("_fp"), "_of").join(leaders, "_of").select("_fp", "leader")
+    gone = settle(rows.join(leads, F.col("fp") == F.col("_fp")).where(place != F.col("leader")).select(
+        "doc_id", "text_digest", F.col("leader.doc_id").alias("leader_id"), F.col("leader.text_digest").alias("leader_digest")))
+    discard(last)
+    discard(rows)
+    return gone
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """One document of each group of near copies, with all columns; rows alike in doc_id and text are one. Runs jobs."""
-    gone = settle(near_copies(docs, text, doc_id, **options).select(
-        F.col("doc_id").alias("__doc"), F.col("text_digest").alias("__digest")).distinct())
+    gone = near_copies(docs, text, doc_id, **options).select(
+        F.col("doc_id").alias("__doc"), F.col("text_digest").alias("__digest"))
     marked = docs.withColumn("__own", digest(F.col(text)))
     kept = marked.join(gone, marked[doc_id].eqNullSafe(gone["__doc"]) & (F.col("__own") == F.col("__digest")), "left_anti")
     return kept.dropDuplicates([doc_id, "__own"]).select(*[F.col(c) for c in docs.columns])

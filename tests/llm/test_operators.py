@@ -416,3 +416,29 @@ def test_near_copies_in_a_large_family_match_brute_force(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     kept = sorted(r.doc_id for r in simhash.drop_near_copies(docs).collect())
     assert 400 < len(kept) < 560 and kept == sorted(set(lead))
+
+
+def test_words_beyond_the_radius_are_abandoned(monkeypatch):
+    """On fingerprints without links every block and every shift ends early, whatever the number of rows."""
+    rng = np.random.default_rng(9)
+    read, ended = [], []
+    counted = simhash._counted
+
+    def watched(diff, planes, radius, over):
+        def seen(b, at):
+            read.append((b, len(at)))
+            return diff(b, at)
+        got = counted(seen, planes, radius, over)
+        ended.append(got is None)
+        return got
+
+    monkeypatch.setattr(simhash, "_counted", watched)
+    x = rng.integers(0, 2**63, (1111, 1)).astype(np.uint64)
+    assert not list(simhash._by_block(x, np.arange(1111), 4)) and all(ended) and max(b for b, _ in read) < 60
+    read.clear(), ended.clear()
+    x[700] = x[3]  # one link keeps its own word alone
+    assert [(int(a[0]), int(b[0]), int(d[0])) for a, b, d in simhash._by_block(x, np.arange(1111), 4)] == [(3, 700, 0)]
+    assert ended.count(False) == 1 and min(w for b, w in read if b > 60) == 1
+    read.clear(), ended.clear()
+    group = np.repeat(np.arange(40), 20)
+    assert not list(simhash._by_shift(x[:800], group, np.arange(800), 4)) and all(ended) and max(b for b, _ in read) < 60
