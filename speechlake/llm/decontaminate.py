@@ -92,12 +92,15 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", doc_id:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id",
-                  mode: str = "documents", **names) -> DataFrame:
+                  mode: str = "documents", item_text: str = "text", least: int = 1, **names) -> DataFrame:
     """The documents without those that hold a window (``documents``), or without the words hit (``spans``).
 
     All columns stay. A null or empty text holds nothing and stays. In mode ``spans`` a word goes with the
-    characters up to the next word; an empty benchmark changes nothing. Runs jobs.
+    characters up to the next word; an empty benchmark changes nothing. Items of fewer than ``least`` words are left
+    out: a word or two stand in clean documents as well. Runs jobs.
     """
+    items = items.where(F.size(split_words(F.col(item_text), NOT_WORD)) >= least)
+    names["item_text"] = item_text
     found = settle(contamination(docs, items, text, doc_id, **names).select(
         F.col("doc").alias("__doc"), F.col("text_digest").alias("__digest"), F.col("spans").alias("__spans")))
     same = docs[doc_id].eqNullSafe(found["__doc"]) & (digest(docs[text]) == found["__digest"])

@@ -192,6 +192,7 @@ def test_decontamination(spark, bench, odd, empty):
                            ("4", 0, 0, []), ("5", 0, 0, [])])
     clean = {r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()}
     assert clean == {2, 4, 5}
+    assert {r.doc_id for r in decontaminate.decontaminate(docs, bench, least=5).collect()} == {2, 3, 4, 5, None}
     cut = {r.doc_id: r.text for r in decontaminate.decontaminate(docs, bench, mode="spans").collect()}
     assert cut[1] == "x y" and cut[3] == "a here, " and cut[4] is None and cut[2].startswith("one")
     assert decontaminate.decontaminate(odd, bench).columns == odd.columns
