@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import re
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ROOTS: dict[str, str] = {}  # application id to the folder of its tables
+_OPEN = threading.local()  # tables settled inside ``temporary`` blocks of this thread
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -60,9 +63,23 @@ def settle(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._settled_at = path
+    for held in getattr(_OPEN, "blocks", []):
+        held.append(out)
     return out
 
 
+@contextlib.contextmanager
+def temporary():
+    """Tables settled inside the block are removed at its end, also after an error; what is to last is written elsewhere."""
+    blocks = _OPEN.blocks = getattr(_OPEN, "blocks", [])
+    blocks.append([])
+    try:
+        yield
+    finally:
+        for df in blocks.pop():
+            discard(df)
+
+
 def discard(df: DataFrame) -> None:
     """Remove a settled table that nothing reads any more."""
     path = getattr(df, "_settled_at", None)

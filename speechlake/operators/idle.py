@@ -50,14 +50,25 @@ def parse_polls(polls: DataFrame, capabilities: Sequence[str], status: str = "st
     return polls.withColumn("valid", valid).withColumn("empty", F.coalesce(valid & empty, F.lit(False)))
 
 
+def judged_polls(polls: DataFrame, poll_seconds: float, valid: str = "valid", machine: str = "machine_state",
+                 took: str = "took_seconds") -> DataFrame:
+    """Polls whose ``empty`` holds only if the status is valid and the machine runs, and ``slow`` ones that took over two periods.
+
+    A failed request is an invalid status; a slow poll restarts the clock instead of going on.
+    """
+    counts = F.coalesce(F.col(valid), F.lit(False)) & F.coalesce(F.col(machine) == "running", F.lit(False))
+    return polls.withColumn("empty", F.coalesce(F.col("empty"), F.lit(False)) & counts).withColumn(
+        "slow", F.coalesce(F.col(took) > 2 * poll_seconds, F.lit(False)))
+
+
 def idle_windows(
     polls: DataFrame, gap: float, idle_seconds: float = IDLE_SECONDS, key: str = "source",
     block_rows: int = POLL_BLOCK,
 ) -> DataFrame:
-    """Add ``since`` and ``fires`` to polls ``source, seq, poll_ts, empty``.
+    """Add ``since`` and ``fires`` to polls ``source, seq, poll_ts, empty``, and ``slow`` if there is one.
 
-    The clock starts at the first empty poll, and again after a gap or when time runs backward.
-    A poll that is not empty (or not valid) clears it.
+    The clock starts at the first empty poll, and again after a gap, when time runs backward, and at a poll that was ``slow``.
+    A poll that is not empty (see :func:`judged_polls` for those that do not count) clears it.
     """
     p = with_block(polls, "seq", block_rows).repartition(key, BLOCK)
     p = p.withColumn("_now", F.struct("empty", "poll_ts"))
@@ -67,6 +78,8 @@ def idle_windows(
         F.coalesce(F.col("_prior.empty"), F.lit(False))
         & (F.col("poll_ts") - before <= gap) & (F.col("poll_ts") >= before)
     )
+    if "slow" in polls.columns:
+        carries_on = carries_on & ~F.coalesce("slow", F.lit(False))
     p = p.withColumn("_start", F.when(F.col("empty") & ~carries_on, F.col("poll_ts")))
     so_far = local_window([key], ["seq"]).rowsBetween(W.unboundedPreceding, W.currentRow)
     earlier = block_order([key]).rowsBetween(W.unboundedPreceding, -1)

@@ -185,6 +185,24 @@ def _status_texts(spark, sf):
         F.lit(',"active_leases":'), leases, last, F.when(kind == 8, "").otherwise("}")).alias("status"))
 
 
+CAPABILITIES = ["transcription", "diarization"]
+POLL_SECONDS = 30.0
+
+
+def controller_polls(spark, sf):
+    """Polls of a machine: the queue's status, the machine's state, and how long the poll took."""
+    texts = _status_texts(spark, sf).withColumnRenamed("event_id", "seq")
+    return polls(spark, sf).drop("empty").join(texts, "seq").select(
+        "source", "seq", "poll_ts", "status", F.when(F.col("seq") % 11 == 3, "loading").otherwise("running").alias("machine_state"),
+        F.when(F.col("seq") % 13 == 4, 61.5).otherwise(0.5).alias("took_seconds"))
+
+
+def controller_windows(spark, sf):
+    judged = idle.judged_polls(idle.parse_polls(controller_polls(spark, sf).where(F.col("seq") % 100 != 50), CAPABILITIES), POLL_SECONDS)
+    return idle.idle_windows(judged, gap=100_000, idle_seconds=86_400, block_rows=512).select(
+        "source", "seq", "poll_ts", "empty", "since", "fires")
+
+
 def parsed_polls(spark, sf):
     parsed = idle.parse_polls(_status_texts(spark, sf), ["transcription", "diarization"])
     return parsed.select("event_id", "valid", "empty")
@@ -228,6 +246,7 @@ QUERIES = {
     "f13_leaked_tokens": leaks,
     "f14_t6_findings": findings,
     "st2_idle_windows": idle_windows,
+    "st2_controller_windows": controller_windows,
     "src12_parsed_polls": parsed_polls,
     "src3_listed_files": listed_files,
     "src8_match_report": match_report,
@@ -261,7 +280,25 @@ DETAIL = c.collapse_sql(r"""CASE event_id % 4
    WHEN 0 THEN '"bad  ***\nkey ***"' WHEN 1 THEN '<p>' || chr(9) || ' *** </p>' || chr(10)
    WHEN 2 THEN props ELSE '' END""")
 
+CONTROLLER_SQL = """WITH p AS (
+    SELECT user_id AS source, event_id AS seq, floor(epoch_us(ts) / 1000000)::BIGINT AS poll_ts,
+      event_id % 9 = 0 AND user_id % 2 = 0 AND event_id % 11 <> 3 AS empty, event_id % 13 = 4 AS slow
+    FROM events WHERE event_id % 100 <> 50),
+  q AS (SELECT *, lag(poll_ts) OVER w AS t0, coalesce(lag(empty) OVER w, false) AS e0 FROM p WINDOW w AS (PARTITION BY source ORDER BY seq)),
+  r AS (SELECT *, CASE WHEN empty AND NOT (e0 AND poll_ts - t0 <= 100000 AND poll_ts >= t0 AND NOT slow) THEN seq END AS st FROM q),
+  g AS (SELECT *, max(st) OVER (PARTITION BY source ORDER BY seq) AS started FROM r)
+  SELECT g.source, g.seq, g.poll_ts, g.empty, CASE WHEN g.empty THEN s.poll_ts END AS since,
+    coalesce(g.empty AND g.poll_ts - s.poll_ts >= 86400, false) AS fires
+  FROM g LEFT JOIN p s ON g.source = s.source AND g.started = s.seq"""
+
+POLL_FILES_SQL = """SELECT CASE WHEN ok THEN user_id END AS source, CASE WHEN ok THEN event_id END AS seq,
+    CASE WHEN ok THEN floor(epoch_us(ts) / 1000000)::BIGINT END AS poll_ts,
+    CASE WHEN ok THEN CASE WHEN event_id % 11 = 3 THEN 'loading' ELSE 'running' END END AS machine_state,
+    CASE WHEN ok THEN CASE WHEN event_id % 13 = 4 THEN 61.5 ELSE 0.5 END::DOUBLE END AS took_seconds, NOT ok AS is_broken
+  FROM (SELECT *, event_id % 100 <> 50 AS ok FROM events)"""
+
 ORACLES = {
+    "st2_controller_windows": CONTROLLER_SQL,
     "c1_day_profile": f"""WITH {DEMAND} SELECT fecha::VARCHAR AS fecha, sum(escuchas)::BIGINT AS total, max(escuchas) AS peak,
         arg_max(hora, escuchas * 100 - hora) AS peak_hour, min(hora) FILTER (WHERE escuchas > 0) AS first_hour,
         max(hora) FILTER (WHERE escuchas > 0) AS last_hour FROM demand GROUP BY fecha""",
