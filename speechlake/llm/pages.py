@@ -18,7 +18,7 @@ from speechlake.llm import boosting
 
 # --- parsing
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?][^>]*>", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>|<[!?][^<>]*>", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'=<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 SPACES = re.compile(r"\s+")
 # fixed values: element names as HTML defines them
@@ -49,6 +49,14 @@ TALK = frozenset("comment comments reply replies discussion disqus respond threa
 WORDS_IN = re.compile(r"[a-z]+")
 
 
+@lru_cache(maxsize=64)
+def _end_of(tag: str) -> re.Pattern:
+    """The end of an element whose text is not shown; of one that is not raw text, whatever shows first that it has none."""
+    if tag in RAW:
+        return re.compile(rf"(</{tag}\b[^<>]*>?)", re.I)
+    return re.compile(rf"(</{tag}\b[^<>]*>?)|<{tag}\b|</(?:article|main|body|html)\b", re.I)
+
+
 class Node:
     __slots__ = ("tag", "kind", "parent", "children", "text", "hints", "marked", "chars", "linked", "tags", "stops", "depth")
 
@@ -62,7 +70,11 @@ class Node:
 
 
 def parse(source: str) -> Node:
-    """Tree of block elements; the text between two block boundaries is one child (a run) of its element."""
+    """Tree of block elements; the text between two block boundaries is one child (a run) of its element.
+
+    A tag that is not closed by ``>`` before the next ``<`` is text. Elements such as ``svg`` or ``noscript`` are skipped up to their end; if
+    they have none inside their article or page, only their tag is. Time is in proportion to the page, whatever stands in it.
+    """
     root = Node("html", None)
     stack: list[tuple[str, Node, bool]] = [("html", root, True)]  # tag, block that holds it, whether it is that block
     pieces: list[str] = []
@@ -117,8 +129,11 @@ def parse(source: str) -> Node:
                     break
             continue
         if tag in RAW or tag in UNSEEN and tag != "head":
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
-            at = end.end() if end else n
+            end = _end_of(tag).search(source, at)
+            if end and end[1]:
+                at = end.end()
+            elif tag in RAW:
+                at = n  # raw text without an end reaches to the end of the page, as in a browser
             continue
         if tag == "head":
             end = re.compile(r"</head\s*>|(?=<body\b)", re.I).search(source, at)
