@@ -25,6 +25,11 @@ def _signs(table: int, part: int, size: int, seed: int) -> np.ndarray:
     return np.random.default_rng((seed, table, part, size)).choice(np.array([-1.0, 1.0]), (3, size))
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each row divided by its largest component, so that no square over- or underflows; angles stay as they are."""
+    return x / np.abs(x).max(1, keepdims=True)
+
+
 def rotate(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
     """Three rounds of random signs and a fast Hadamard transform; columns are a power of two."""
     n, d = x.shape
@@ -64,7 +69,7 @@ def _codes(tables: int, seed: int):
         sizes = vectors.map(len).to_numpy()
         for d in np.unique(sizes):
             at = np.flatnonzero(sizes == d)
-            x = np.stack([np.asarray(v, np.float64) for v in vectors.iloc[at]])
+            x = scaled(np.stack([np.asarray(v, np.float64) for v in vectors.iloc[at]]))
             all_codes = np.concatenate([polytope_codes(x, t, seed) * tables + t for t in range(tables)], 1)
             for row, codes in zip(at, all_codes):
                 out[row] = codes
@@ -81,7 +86,7 @@ def _verify(threshold: float):
             yield pairs(part.reset_index(drop=True))
 
     def pairs(table: pd.DataFrame) -> pa.RecordBatch:
-        x = np.stack(table["v"].to_numpy()).astype(np.float64)
+        x = scaled(np.stack(table["v"].to_numpy()).astype(np.float64))
         norm = np.sqrt((x * x).sum(1))
         key = table[["bucket", "part"]].to_numpy(np.int64)
         starts = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])

@@ -1,6 +1,7 @@
 """The ten operators and the pipeline: brute force on small tables, and odd rows."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -443,3 +444,36 @@ def test_words_beyond_the_radius_are_abandoned(monkeypatch):
     read.clear(), ended.clear()
     group = np.repeat(np.arange(40), 20)
     assert not list(simhash._by_shift(x[:800], group, np.arange(800), 4)) and all(ended) and max(b for b, _ in read) < 60
+
+
+def runs(source):
+    return [n.text for n in pages.nodes(pages.parse(source)) if n.text]
+
+
+@pytest.mark.parametrize("tag", ["svg", "noscript", "iframe", "object", "canvas", "template", "math"])
+def test_elements_without_an_end_swallow_nothing(tag):
+    assert runs(f"<article><p>Alpha</p><{tag}><path/><p>Beta</p></article><p>Gamma</p>") == ["Alpha", "Beta", "Gamma"]
+    assert runs(f"<article><{tag}><p>Beta</p></article><aside><{tag}>no</{tag}></aside><p>Gamma</p>") == ["Beta", "Gamma"]
+    assert runs(f"<article><p>Alpha</p><{tag}>no</{tag}><p>Beta</p></article>") == ["Alpha", "Beta"]
+    assert runs(f"<p>Alpha</p><{tag}>Beta") == ["Alpha", "Beta"] and runs("<p>Alpha</p><script>x<p>y") == ["Alpha"]
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a b='", '<a "', "<!x ", "<!--", "<svg>", "<svg><math>", "</svg", "<p><b>x</p>", "&amp", "<script>"])
+def test_pages_are_parsed_in_linear_time(piece):
+    began = time.time()
+    pages.parse(piece * 20000)
+    assert time.time() - began < 3
+
+
+def test_very_long_page():
+    began = time.time()
+    text = runs("<main>" + "<p>Some words in a paragraph, and more of them.</p>" * 100000 + "</main>")
+    assert len(text) == 100000 and time.time() - began < 30
+
+
+def test_cosines_of_tiny_and_huge_vectors(spark):
+    made = [(1, [1e-200, 0.0]), (2, [float(np.cos(1)), float(np.sin(1))]), (3, [2e-200, 0.0]), (4, [1e200, 0.0]), (5, [2e200, 1e199]), (6, [0.0, 1e-308]),
+            (7, [0.0, 3e307]), (8, [5e-324, 0.0])]
+    rows = vectors.near_vectors(spark.createDataFrame([(i, v, 0) for i, v in made], "vec_id long, embedding array<double>, label int")).collect()
+    got = {r.vec_id: (r.n_links, r.component_id) for r in rows}
+    assert got == {1: (4, 1), 3: (4, 1), 4: (4, 1), 5: (4, 1), 8: (4, 1), 2: (0, 2), 6: (1, 6), 7: (1, 6)}
