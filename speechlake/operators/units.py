@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from speechlake.functions.text import is_blank
+from speechlake.operators.blocks import BLOCK, number_rows, with_block
 
 
 def explode_segments(transcripts: DataFrame) -> DataFrame:
@@ -71,3 +72,12 @@ def explode_intervals(diarizations: DataFrame, field: str = "exclusive_diarizati
 def order_key(start: Column, end: Column, speaker: Column) -> Column:
     """Sortable place of an interval; compares like (start, end, speaker)."""
     return F.struct(start.alias("start"), end.alias("end"), speaker.alias("speaker"))
+
+
+def with_positions(intervals: DataFrame, cell: float = 3600.0) -> DataFrame:
+    """Intervals with ``pos``, from 0 in the order of (start, end, speaker); a former ``pos`` is replaced.
+
+    Numbers are assigned in cells of ``cell`` time units and carried over, so a long recording is never sorted in one task.
+    """
+    rows = with_block(intervals.drop("pos"), "start", cell)
+    return number_rows(rows, ["audio_key"], ["start", "end", "speaker"], "pos").withColumn("pos", F.col("pos") - 1).drop(BLOCK)

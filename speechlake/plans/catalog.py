@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from speechlake.plans import audits, files, operations, repeats, signal, speech, streams
+from speechlake.plans import audits, files, operations, repeats, results, signal, speech, streams
 
-MODULES = (speech, repeats, audits, operations, signal, files, streams)
+MODULES = (speech, repeats, audits, operations, signal, files, streams, results)
 
 
 def queries():
