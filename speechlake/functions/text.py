@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import mimetypes
 import re
 from collections.abc import Iterable
 
@@ -107,18 +106,30 @@ def safe_uri(path: Column) -> Column:
     return F.concat_ws("_", F.substring(stem, 1, 48), F.substring(F.sha1(path), 1, 12))
 
 
-def _content_type_suffixes() -> dict[str, str]:
-    """Audio and video content types of the standard MIME tables, with their usual suffix."""
-    known = {t for table in mimetypes.MimeTypes().types_map for t in table.values()}
-    media = sorted(t for t in known if t.startswith(("audio/", "video/")))
-    guessed = {t: mimetypes.guess_extension(t) for t in media}
-    return {t: ext for t, ext in guessed.items() if ext}
+# Audio and video content types and their usual suffixes.
+CONTENT_TYPES = {
+    "audio/3gpp": ".3gp",
+    "audio/3gpp2": ".3g2",
+    "audio/aac": ".aac",
+    "audio/basic": ".au",
+    "audio/mpeg": ".mp3",
+    "audio/opus": ".opus",
+    "audio/x-aiff": ".aif",
+    "audio/x-pn-realaudio": ".ra",
+    "audio/x-wav": ".wav",
+    "video/mp4": ".mp4",
+    "video/mpeg": ".mpeg",
+    "video/quicktime": ".mov",
+    "video/webm": ".webm",
+    "video/x-msvideo": ".avi",
+    "video/x-sgi-movie": ".movie",
+}
 
 
 def audio_suffix(url: Column, content_type: Column) -> Column:
     """Suffix of the URL path if recognised, else by content type, else ``.mp3``."""
     from_url = path_suffix(F.substring_index(url, "?", 1))
-    pairs = [F.lit(x) for item in sorted(_content_type_suffixes().items()) for x in item]
+    pairs = [F.lit(x) for item in CONTENT_TYPES.items() for x in item]
     kind = F.lower(F.trim(F.substring_index(content_type, ";", 1)))
     from_type = F.try_element_at(F.create_map(*pairs), kind)
     return F.coalesce(

@@ -57,7 +57,7 @@ def talk_units(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) ->
 def talk_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     start = F.col("turn") * TURN_MS + (F.col("conv_id") % 5) * 100
-    length = F.least(F.lit(TURN_MS), F.size(_tokens("text")) * 350).cast("bigint")
+    length = (F.size(_tokens("text")) * 350).cast("bigint")
     return c.select(
         F.col("conv_id").alias("audio_key"), F.col("turn").alias("pos"),
         start.alias("start"), (start + length).alias("end"), F.col("role").alias("speaker"),
@@ -108,7 +108,7 @@ units AS (
   FROM words),
 intervals AS (
   SELECT conv_id AS audio_key, turn AS pos, turn * 20000 + (conv_id % 5) * 100 AS s,
-         turn * 20000 + (conv_id % 5) * 100 + least(20000, len(w) * 350) AS e, role AS speaker
+         turn * 20000 + (conv_id % 5) * 100 + len(w) * 350 AS e, role AS speaker
   FROM ws)"""
 
 ALIGNED_SQL = UNITS_SQL + """,

@@ -92,11 +92,11 @@ def nested_units(spark, sf):
 
 
 def window_scores(spark, sf):
-    """The first three numbers of an embedding, scaled, play the model's logits."""
+    """Every third component of the whole vector, added up, plays one of the model's logits."""
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("audio"), "embedding")
 
     def load():
-        return lambda batch: [[float(v) * 10 for v in x[:3]] for x in batch]
+        return lambda batch: [[sum(float(v) for v in x[k::3]) for k in range(3)] for x in batch]
 
     return windows.score_windows(vectors, "embedding", load, {0: "speech", 1: "MUSIC", 2: "Singing"})
 
@@ -144,9 +144,9 @@ ORACLES = {
             WHERE len({corpus.TOKENS}) = 0 AND {corpus.collapse_sql('text')} <> '')
         SELECT audio_key, row_number() OVER (PARTITION BY audio_key ORDER BY part, k) - 1 AS seq,
           start, "end", text, probability FROM listed""",
-    "g6_score_windows": """SELECT vec_id AS audio, round(1 / (1 + exp(-embedding[1]::DOUBLE * 10)), 4) AS p_speech,
-        round(1 / (1 + exp(-embedding[2]::DOUBLE * 10)), 4) AS p_music,
-        round(1 / (1 + exp(-embedding[3]::DOUBLE * 10)), 4) AS p_singing FROM embeddings""",
+    "g6_score_windows": f"""SELECT vec_id AS audio, round(1 / (1 + exp(-{operations.THIRD.format(1)})), 4) AS p_speech,
+        round(1 / (1 + exp(-{operations.THIRD.format(2)})), 4) AS p_music,
+        round(1 / (1 + exp(-{operations.THIRD.format(3)})), 4) AS p_singing FROM embeddings""",
     "j9_pair_documents": f"""WITH {corpus.UNITS_SQL}, {audits.LISTS},
         spoken AS (SELECT audio_key, list_sort(list_distinct(list(speaker))) AS l FROM intervals GROUP BY 1)
         SELECT s.audio_key, array_to_string(l, ',') AS speakers, len(l) AS num_speakers, duration,

@@ -113,7 +113,9 @@ def slides(spark, sf):
 
 
 def _scores(spark, sf):
-    p = lambda i: F.round(F.col("embedding")[i].cast("double") * 2 + 0.5, 4)
+    """Every third component of the whole vector, added up in order, plays one of the three scores."""
+    third = lambda i: F.filter("embedding", lambda x, k: k % 3 == i)
+    p = lambda i: F.round(F.aggregate(third(i), F.lit(0.0), lambda a, x: a + x.cast("double")) + 0.5, 4)
     return table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("audio"), (F.col("vec_id") * 5.0).alias("start"),
         p(0).alias("p_speech"), p(1).alias("p_music"), p(2).alias("p_singing"))
@@ -138,12 +140,14 @@ def redacted(spark, sf):
 
 def error_details(spark, sf):
     k = F.col("event_id").cast("string")
-    body = F.when(F.col("event_id") % 4 == 0, F.concat(
-        F.lit('{"error":"bad  hf_abc'), k, F.lit('\\nkey s3cret\\"key","detail":""}'))).when(
-        F.col("event_id") % 4 == 1, F.concat(F.lit("<p>\t rpa_x-"), k, F.lit(" </p>\n"))).when(
-        F.col("event_id") % 4 == 2, F.col("props")).otherwise("")
-    return table(spark, sf, "events").select(
-        "event_id", fx.redacted_detail(body, [ERROR_TOKEN]).alias("detail"))
+    tagged = F.concat(F.lit('{"error":"bad  hf_abc'), k, F.lit('\\nkey s3cret\\"key","detail":"","event":'), "props", F.lit("}"))
+    listed = F.concat(F.lit('{"title":0,"message":'), "props", F.lit("}"))
+    page = F.concat(F.lit("<p>\t rpa_x-"), k, F.lit(" "), "props", F.lit(" </p>\n"))
+    empty = F.regexp_replace("props", "(?s).", "")
+    bodies = {"plain": F.col("props"), "json": tagged, "nested": listed, "page": page, "empty": empty}
+    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), body.alias("body")) for kind, body in bodies.items()])
+    return table(spark, sf, "events").select("event_id", F.inline(pairs)).select(
+        "event_id", "kind", fx.redacted_detail(F.col("body"), [ERROR_TOKEN]).alias("detail"))
 
 
 def leaks(spark, sf):
@@ -270,15 +274,19 @@ runs AS (SELECT *, l_suppkey % 5 AS n_spk, l_extendedprice / l_quantity AS rtf,
   row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice) AS r FROM lineitem),
 one AS (SELECT n_spk AS n1, -l_tax AS lp1 FROM runs WHERE r = 1)"""
 
-SCORES = """
-scores AS (SELECT vec_id AS audio, vec_id * 5.0::DOUBLE AS start, round(embedding[1]::DOUBLE * 2 + 0.5, 4) AS p_speech,
-  round(embedding[2]::DOUBLE * 2 + 0.5, 4) AS p_music, round(embedding[3]::DOUBLE * 2 + 0.5, 4) AS p_singing FROM embeddings),
+THIRD = "list_reduce(embedding[{0}:len(embedding):3]::DOUBLE[], lambda a, b: a + b)"
+SCORES = f"""
+scores AS (SELECT vec_id AS audio, vec_id * 5.0::DOUBLE AS start, round({THIRD.format(1)} + 0.5, 4) AS p_speech,
+  round({THIRD.format(2)} + 0.5, 4) AS p_music, round({THIRD.format(3)} + 0.5, 4) AS p_singing FROM embeddings),
 low AS (SELECT * FROM scores WHERE p_speech < 0.2 AND (p_music > 0.85 OR p_singing > 0.7))"""
 
 TOKENS_SQL = r"(?:sk-|AKIA|token|password)[A-Za-z0-9_-]*"
-DETAIL = c.collapse_sql(r"""CASE event_id % 4
-   WHEN 0 THEN '"bad  ***\nkey ***"' WHEN 1 THEN '<p>' || chr(9) || ' *** </p>' || chr(10)
-   WHEN 2 THEN props ELSE '' END""")
+BODIES = {
+    "plain": "props", "json": r"""CASE WHEN props IS NOT NULL THEN '"bad ***\nkey ***"' END""",
+    "nested": "regexp_replace(props, '([:,]) +', '\\1', 'g')", "page": "'<p> *** ' || props || ' </p>'",
+    "empty": "CASE WHEN props IS NOT NULL THEN 'no reason was given' END"}
+DETAILS = " UNION ALL ".join(
+    f"SELECT event_id, '{kind}' AS kind, {c.collapse_sql(sql)} AS detail FROM events" for kind, sql in BODIES.items())
 
 CONTROLLER_SQL = """WITH p AS (
     SELECT user_id AS source, event_id AS seq, floor(epoch_us(ts) / 1000000)::BIGINT AS poll_ts,
@@ -336,8 +344,7 @@ ORACLES = {
     "p5_first_candidates": f"WITH {SCORES} SELECT * FROM low ORDER BY audio, start LIMIT 30",
     "t3_first_recordings": "SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 1000",
     "f12_redacted_text": f"SELECT doc_id, regexp_replace(text, '{TOKENS_SQL}', '***', 'g') AS text FROM documents",
-    "f12_error_details": f"""SELECT event_id, CASE WHEN d = '' THEN 'no reason was given' ELSE d END AS detail
-        FROM (SELECT event_id, {DETAIL} AS d FROM events)""",
+    "f12_error_details": DETAILS,
     "f13_leaked_tokens": f"SELECT doc_id FROM documents WHERE regexp_matches(text, '{TOKENS_SQL}')",
     "f14_t6_findings": rf"""WITH l AS (SELECT regexp_replace(split_part(split_part(url, '?', 1), '#', 1), '^[a-z]+://', '') AS path FROM pages),
         s AS (SELECT string_split(path, '/') AS a FROM l),
