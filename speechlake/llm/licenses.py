@@ -8,17 +8,18 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speechlake.llm.text import NOT_WORD, ascii_lower, split_words
 
-BUCKETS = 1 << 16
+COMMON = 3  # examples without a licence that must share an n-gram for it to be a feature, if no other example has it
 LONG, STRIDE = 48, 24  # a paragraph of more words is read in overlapping windows
 CONFIRM = 0.75  # share of a template's word triples in the window, or of the window's in the template
 BACKGROUND = 3000  # paragraphs of the collection that are fitted as unknown, at most
 UNKNOWN = "unknown"
+GROUP = 1024  # windows that are scored at once
 
 # fixed values: wording that the licences themselves prescribe or that is usual for naming them
 TEMPLATES = {
@@ -61,12 +62,34 @@ TEMPLATES = {
             "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     "unlicense": ("this is free and unencumbered software released into the public domain",),
 }
+# fixed values: short names, used with the word license or an SPDX tag, and names that say it alone
+NAMES = {
+    "apache-2.0": ("apache 2.0", "apache", "apache version 2.0"), "mit": ("mit", "expat"), "bsd": ("bsd", "bsd 3 clause", "bsd 2 clause", "new bsd"),
+    "gpl": ("gpl", "gnu gpl", "gpl 3.0", "gpl 2.0", "gnu general public", "gpl 3.0 or later", "gpl 2.0 only"),
+    "lgpl": ("lgpl", "gnu lgpl", "lgpl 3.0", "lgpl 2.1", "gnu lesser general public"), "agpl": ("agpl", "agpl 3.0", "gnu affero general public"),
+    "mpl": ("mpl 2.0", "mozilla public"), "cc-by": ("cc by 4.0", "creative commons attribution"),
+    "cc-by-sa": ("cc by sa 4.0", "creative commons attribution sharealike"), "cc-by-nc": ("cc by nc 4.0", "creative commons attribution noncommercial"),
+    "cc-by-nd": ("cc by nd 4.0", "creative commons attribution noderivatives"), "cc0": ("cc0 1.0", "cc0"), "isc": ("isc",), "unlicense": (),
+}
+BARE = {
+    "apache-2.0": ("apache license 2.0",), "mit": (), "bsd": ("bsd 3 clause", "bsd 2 clause"), "gpl": ("gplv3", "gplv2", "gpl v3", "gpl v2", "gnu gpl"),
+    "lgpl": ("lgplv3", "lgpl v3", "lgpl v2.1"), "agpl": ("agplv3", "agpl v3"), "mpl": ("mpl 2.0",), "cc-by": ("cc by 4.0",), "cc-by-sa": ("cc by sa 4.0",),
+    "cc-by-nc": ("cc by nc 4.0",), "cc-by-nd": ("cc by nd 4.0",), "cc0": ("cc0 1.0",), "isc": (), "unlicense": ("the unlicense", "spdx license identifier unlicense"),
+}
+# fixed values: licences without a template here; they teach what an unlisted licence looks like
+UNLISTED = ("eclipse public", "common development and distribution", "artistic", "boost software", "zlib", "european union public",
+            "microsoft public", "open font", "academic free", "python software foundation", "open database", "postgresql", "proprietary")
+FORMS = ("{} license", "license {}", "spdx license identifier {}", "licensed under the {} license", "released under the {} license", "distributed under the {} license")
+OPEN_FORMS = ("licensed under the {} license", "released under the {} license", "published under the {} license", "distributed under the {} license",
+              "spdx license identifier {}", "available under the terms of the {} license")
 #: Sentences near the subject that are no licence.
 NEAR_MISSES = (
     "you need a driving license to rent a car", "the license fee is due every year", "their license was revoked last month",
     "all rights reserved", "the general public is welcome", "the software is distributed on a disk", "the office issues a permit",
     "this work was published under another title", "a version of the song was released", "the mit campus and the apache tribe",
     "the terms of the agreement are public", "creative work needs common sense and attribution", "permission to enter is granted",
+    "license", "a license", "mit", "apache", "the license plate of the car", "a license is needed to drive", "they studied at mit", "released under pressure",
+    "the bridge was built under the public road", "the version was published under the title", "an artistic license of the author", "a public library",
 )
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -81,69 +104,118 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def ngrams(h: np.ndarray) -> list[np.ndarray]:
-    """Buckets of the word 1-, 2- and 3-grams that begin at each word; from 64-bit word hashes."""
-    grams, rolled = [], np.zeros(len(h), np.uint64)
+    """64-bit hashes of the word 1-, 2- and 3-grams that begin at each word; from word hashes."""
+    grams, rolled = [], np.zeros(h.shape, np.uint64)
     for n in range(1, 4):
-        m = len(h) - n + 1
+        m = h.shape[-1] - n + 1
         if m <= 0:
             break
-        rolled = _mix(rolled[:m] * np.uint64(0x9E3779B97F4A7C15) + h[n - 1:n - 1 + m])
-        grams.append((rolled >> np.uint64(48)).astype(np.int64))
+        rolled = _mix(rolled[..., :m] * np.uint64(0x9E3779B97F4A7C15) + h[..., n - 1:n - 1 + m])
+        grams.append(rolled)
     return grams
 
 
 @dataclass
 class Model:
-    """Weights of each bucket for each family (the last class is unknown), and what accepts a proposal."""
+    """Weights of each known n-gram (a last row of zeros stands for all others) for each family, then for licences without
+    a template, then for no licence; and what accepts a proposal."""
 
     families: list[str]
+    known: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
     accept: float
     triples: dict[str, list[np.ndarray]]
 
+    def __post_init__(self):
+        self.near = np.zeros(1 << 20, bool)  # leading bits of the known n-grams
+        self.near[self.known >> np.uint64(44)] = True
+
+    def rows(self, grams: np.ndarray) -> np.ndarray:
+        """Row of the weights of each n-gram."""
+        at = np.full(grams.shape, len(self.known), np.int32)
+        maybe = self.near[grams >> np.uint64(44)]
+        found = np.searchsorted(self.known, grams[maybe]).astype(np.int32)
+        same = self.known[np.minimum(found, len(self.known) - 1)] == grams[maybe]
+        at[maybe] = np.where(same, found, len(self.known))
+        return at
+
+    def _softmax(self, z: np.ndarray) -> np.ndarray:
+        e = np.exp((z - z.max(-1, keepdims=True)) / self.temperature)
+        return e / e.sum(-1, keepdims=True)
+
     def probabilities(self, h: np.ndarray) -> np.ndarray:
-        grams = np.concatenate(ngrams(h)) if len(h) else np.zeros(0, np.int64)
-        z = (self.weights[np.unique(grams)].sum(0) + self.bias) / self.temperature
-        e = np.exp(z - z.max())
-        return e / e.sum()
+        at = self.rows(np.unique(np.concatenate(ngrams(h)))) if len(h) else np.zeros(0, np.int32)
+        return self._softmax(self.weights[at].sum(0) + self.bias)
+
+    def many(self, h: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """:meth:`probabilities` of the windows ``h[begin:begin + length]``, none longer than ``LONG``, a row each."""
+        column, none = np.arange(LONG), len(self.known)
+        words = h[np.minimum(begin[:, None] + column, max(len(h) - 1, 0))]
+        at = np.concatenate([np.where(column[:LONG - n] + n < length[:, None], self.rows(grams), none)
+                             for n, grams in enumerate(ngrams(words))], 1)
+        at.sort(1)
+        at[:, 1:][at[:, 1:] == at[:, :-1]] = none  # an n-gram counts once, as in the fit
+        used = np.flatnonzero((at < none).any(0))  # after the sort most columns are empty
+        return self._softmax(self.weights[at[:, used]].sum(1) + self.bias)
 
     def confirm(self, family: str, h: np.ndarray) -> float:
-        """Largest share of a template's word triples in the window; or of the window's, if it has 5 words or more."""
-        own, best = _triples(h), 0.0
-        for template in self.triples[family]:
+        """Largest share of a template's word triples in the window; or of the window's, if it has 5 words or more.
+
+        Templates of one or two words are looked up whole.
+        """
+        grams, best = [np.unique(g) for g in ngrams(h)], 0.0
+        for size, template in self.triples[family]:
+            if size > len(grams):
+                continue
+            own = grams[size - 1]
             shared = len(np.intersect1d(own, template))
-            best = max(best, shared / max(len(template), 1), shared / len(own) if len(h) >= 5 and len(own) else 0.0)
+            best = max(best, shared / len(template), shared / len(own) if size == 3 and len(h) >= 5 else 0.0)
         return best
 
-    def scan(self, h: np.ndarray) -> tuple[str, float, float] | None:
-        """Family, probability and confirmation of a window; ``unknown`` if no template confirms; None if nothing is there."""
-        p = self.probabilities(h)
-        best = int(p[:-1].argmax())
-        if p[best] < self.accept or p[best] <= p[-1]:
+    def judge(self, h: np.ndarray, p: np.ndarray) -> tuple[str, float, float] | None:
+        """Family, probability and confirmation of a window of class probabilities ``p``; ``unknown``, with the
+        probability of any licence, if no template confirms; None if no licence is likely enough."""
+        if 1 - p[-1] < self.accept:
             return None
-        name = self.families[best]
-        share = self.confirm(name, h)
-        return (name if share >= CONFIRM else UNKNOWN), float(p[best]), float(share)
+        best = int(p[:-1].argmax())
+        share = self.confirm(self.families[best], h) if best < len(self.families) else 0.0
+        if share >= CONFIRM:
+            return self.families[best], float(p[best]), share
+        return UNKNOWN, float(1 - p[-1]), share
+
+    def scan(self, h: np.ndarray) -> tuple[str, float, float] | None:
+        return self.judge(h, self.probabilities(h))
 
 
-def _triples(h: np.ndarray) -> np.ndarray:
+def statements(name: str) -> list[str]:
+    """Templates of a family: its sentences, its short names in usual forms, and names that say it alone."""
+    return [*TEMPLATES[name], *(form.format(n) for n in NAMES[name] for form in FORMS), *BARE[name]]
+
+
+def _template(h: np.ndarray) -> tuple[int, np.ndarray]:
     grams = ngrams(h)
-    return np.unique(grams[-1]) if grams else np.zeros(0, np.int64)
+    return len(grams), np.unique(grams[-1])
 
 
 def fit(hashes: dict[str, int], background: list[np.ndarray], rounds: int = 30, rate: float = 0.4, seed: int = 2) -> Model:
-    """Sparse multinomial regression by stochastic gradient descent on varied templates and on unknown paragraphs.
+    """Sparse multinomial regression by stochastic gradient descent on varied templates, on licences of other names and on paragraphs without one.
 
     ``hashes`` has the word hash that Spark gives each word used here. A fifth of the examples calibrates: the temperature of least
-    log loss, and the acceptance level above which at most one in 500 unknown examples lies, 0.5 at least.
+    log loss, and the acceptance level above which at most one in 500 examples without a licence lies, 0.5 at least.
     """
     rng = random.Random(seed)
     h = lambda words: np.array([hashes[w] for w in words], np.int64).view(np.uint64)
     families = sorted(TEMPLATES)
-    filler = sorted({w for s in NEAR_MISSES for w in _words(s)})
+    other, nothing = len(families), len(families) + 1
+    filler = sorted({w for s in NEAR_MISSES for w in _words(s)} - {"mit", "apache", "license"})
     rows: list[tuple[np.ndarray, int]] = []
+
+    def within(kept):
+        around = [rng.choice(filler) for _ in range(rng.choice((0, 0, 2, 6)))]
+        return h(around + kept if rng.random() < 0.5 else kept + around)
+
     for k, name in enumerate(families):
         for template in TEMPLATES[name]:
             words = _words(template)
@@ -152,17 +224,35 @@ def fit(hashes: dict[str, int], background: list[np.ndarray], rounds: int = 30,
                 if len(kept) > 14 and rng.random() < 0.4:
                     begin = rng.randint(0, len(kept) - 12)
                     kept = kept[begin:begin + rng.randint(12, len(kept))]
-                around = [rng.choice(filler) for _ in range(rng.choice((0, 0, 2, 6)))]
-                rows.append((h(around + kept if rng.random() < 0.5 else kept + around), k))
+                rows.append((within(kept), k))
+        for short in statements(name)[len(TEMPLATES[name]):]:
+            words = _words(short)
+            rows += [(h(words), k)] * 3 + [(within(words), k) for _ in range(3)]
+    for said in UNLISTED:
+        for form in dict.fromkeys(FORMS + OPEN_FORMS):
+            words = _words(form.format(said))
+            rows += [(h(words), other), (within(words), other)]
+    for form in OPEN_FORMS:
+        before, after = (h(_words(part)) for part in form.split("{}"))
+        for _ in range(30):
+            made = np.array([rng.getrandbits(64) for _ in range(rng.choice((1, 1, 2, 3)))], np.uint64)
+            rows.append((np.concatenate([before, made, after]), other))
     for said in NEAR_MISSES:
         words = _words(said)
         for _ in range(12):
-            rows.append((h([w for w in words if rng.random() > 0.1] or words), len(families)))
-    rows += [(np.asarray(b, np.int64).view(np.uint64), len(families)) for b in background]
+            rows.append((h([w for w in words if rng.random() > 0.1] or words), nothing))
+    for _ in range(800):  # words that no example has, and plain ones, so that a small collection is no different
+        made = np.array([rng.getrandbits(64) for _ in range(rng.choice((1, 2, 6, 20)))], np.uint64)
+        rows.append((np.concatenate([made, h([rng.choice(filler) for _ in range(rng.choice((0, 0, 1, 3)))])]), nothing))
+    rows += [(np.asarray(b, np.int64).view(np.uint64), nothing) for b in background]
     rng.shuffle(rows)
-    inputs = [(np.unique(np.concatenate(ngrams(x))) if len(x) else np.zeros(0, np.int64), y) for x, y in rows]
+    inputs = [(np.unique(np.concatenate(ngrams(x))) if len(x) else np.zeros(0, np.uint64), y) for x, y in rows]
     held, train = inputs[::5], [x for i, x in enumerate(inputs) if i % 5]
-    weights, bias = np.zeros((BUCKETS, len(families) + 1)), np.zeros(len(families) + 1)
+    plain, times = np.unique(np.concatenate([x for x, y in train if y == nothing]), return_counts=True)
+    known = np.union1d(plain[times >= COMMON], np.concatenate([x for x, y in train if y != nothing]))
+    model = Model(families, known, np.zeros((len(known) + 1, nothing + 1)), np.zeros(nothing + 1), 1.0, 0.5, {})
+    weights, bias = model.weights, model.bias
+    held, train = ([(at[at < len(known)], y) for at, y in ((model.rows(x), y) for x, y in part)] for part in (held, train))
     for r in range(rounds):
         step = rate / (1 + r / 5)
         rng.shuffle(train)
@@ -183,10 +273,10 @@ def fit(hashes: dict[str, int], background: list[np.ndarray], rounds: int = 30,
         p = e / e.sum(1, keepdims=True)
         best = min(best, (-np.log(np.maximum(p[np.arange(len(target)), target], 1e-9)).mean(), t))
     e = np.exp((raw - raw.max(1, keepdims=True)) / best[1])
-    p = (e / e.sum(1, keepdims=True))[target == len(families), :-1].max(1)
+    p = 1 - (e / e.sum(1, keepdims=True))[target == nothing, -1]
     accept = max(0.5, float(np.sort(p)[int(len(p) * 0.998)]) if len(p) else 0.5)
-    triples = {name: [_triples(h(_words(t))) for t in TEMPLATES[name]] for name in families}
-    return Model(families, weights.astype(np.float32), bias, best[1], min(accept, 0.9), triples)
+    triples = {name: [_template(h(_words(t))) for t in statements(name)] for name in families}
+    return Model(families, known, weights.astype(np.float32), bias, best[1], min(accept, 0.9), triples)
 
 
 def paragraphs(docs: DataFrame, text: str) -> DataFrame:
@@ -197,12 +287,13 @@ def paragraphs(docs: DataFrame, text: str) -> DataFrame:
 
 
 def train(docs: DataFrame, text: str = "text", key: str = "doc_id", background: int = BACKGROUND, seed: int = 2) -> Model:
-    """Model with ``background`` paragraphs of the collection, drawn by a seeded hash, as examples of unknown.
+    """Model with ``background`` paragraphs of the collection, drawn by a seeded hash, as examples without a licence.
 
     Drawn paragraphs that say licence or copyright are left out; each gives its first window. Runs two small jobs.
     """
     spark = docs.sparkSession
-    words = sorted({w for ts in TEMPLATES.values() for t in ts for w in _words(t)} | {w for s in NEAR_MISSES for w in _words(s)})
+    said = [*NEAR_MISSES, *FORMS, *OPEN_FORMS, *UNLISTED, *(t for name in TEMPLATES for t in statements(name))]
+    words = sorted({w for t in said for w in _words(t)})
     found = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h")).collect()
     ids = docs.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull()).orderBy(
         F.xxhash64(F.lit(seed), "_key"), "_key").limit(background // 4)
@@ -219,42 +310,43 @@ def _fitted(words, drawn, seed) -> Model:
     return fit(dict(words), [np.array(d, np.int64) for d in sorted(drawn)], seed=seed)
 
 
-def windows(h: np.ndarray):
-    """The words of a paragraph, or overlapping windows of a long one."""
-    if len(h) <= LONG:
-        yield h
-        return
-    for at in range(0, len(h) - STRIDE, STRIDE):
-        yield h[at:at + LONG]
+def windows(length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line, first word and number of words of each window: a paragraph, or the overlapping windows of a long one."""
+    count = np.where(length > LONG, -(-(length - STRIDE) // STRIDE), np.minimum(length, 1))
+    line = np.repeat(np.arange(len(length)), count)
+    at = (np.arange(len(line)) - np.repeat(np.cumsum(count) - count, count)) * STRIDE
+    return line, at, np.minimum(LONG, length[line] - at)
 
 
 def scan(docs: DataFrame, model: Model, text: str = "text", out: str = "licenses") -> DataFrame:
     """All columns and ``out``: array of ``(line, family, probability, confirmed)``, by line, from 1.
 
-    One entry for each line and family: the best window. A line is looked at only if one of its word triples is in
-    a template; ``unknown`` is a licence-like window that no template confirms.
-    Null, empty and word-less texts give an empty array. A column already named ``out`` is replaced.
+    The classifier scores every window of every line. One entry for each line and family: the best window.
+    ``unknown`` is a licence that no template confirms, listed or not. Long texts are scored window by window, ``GROUP``
+    at once. Null, empty and word-less texts give an empty array. A column already named ``out`` is replaced.
     """
-    known = np.zeros(BUCKETS, bool)
-    for name in model.families:
-        for t in model.triples[name]:
-            known[t] = True
-
-    @F.pandas_udf("array<struct<line:int,family:string,probability:double,confirmed:double>>")
-    def found(rows: pd.Series) -> pd.Series:
-        out = []
-        for row in rows:
-            best: dict[tuple[int, str], tuple[float, float]] = {}
-            for k, line in enumerate(row):
-                h = np.asarray(line, np.int64).view(np.uint64)
-                grams = ngrams(h)
-                if len(grams) < 3 or not known[grams[-1]].any():
+    entry = pa.list_(pa.struct([("line", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("confirmed", pa.float64())]))
+
+    @F.arrow_udf("array<struct<line:int,family:string,probability:double,confirmed:double>>")
+    def found(texts: pa.Array) -> pa.Array:
+        lines = texts.flatten()
+        h = lines.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
+        first_line = np.asarray(texts.offsets, np.int64) - texts.offsets[0].as_py()
+        first_word = np.asarray(lines.offsets, np.int64) - (lines.offsets[0].as_py() if len(lines) else 0)
+        line, at, length = windows(np.diff(first_word))
+        begin = first_word[line] + at
+        best: list[dict[tuple[int, str], tuple[float, float]]] = [{} for _ in range(len(texts))]
+        owner = np.repeat(np.arange(len(texts)), np.diff(first_line))
+        for g in range(0, len(line), GROUP):
+            p = model.many(h, begin[g:g + GROUP], length[g:g + GROUP])
+            for k in np.flatnonzero(1 - p[:, -1] >= model.accept):
+                w, row = g + k, owner[line[g + k]]
+                got = model.judge(h[begin[w]:begin[w] + length[w]], p[k])
+                if got is None:
                     continue
-                for w in windows(h):
-                    got = model.scan(w)
-                    if got and (got[1], got[2]) > best.get((k + 1, got[0]), (-1.0, -1.0)):
-                        best[k + 1, got[0]] = got[1], got[2]
-            out.append([{"line": k, "family": f, "probability": p, "confirmed": c} for (k, f), (p, c) in sorted(best.items())])
-        return pd.Series(out, dtype=object)
+                key = int(line[w] - first_line[row]) + 1, got[0]
+                if (got[1], got[2]) > best[row].get(key, (-1.0, -1.0)):
+                    best[row][key] = got[1], got[2]
+        return pa.array([[{"line": k, "family": f, "probability": p, "confirmed": c} for (k, f), (p, c) in sorted(b.items())] for b in best], entry)
 
     return paragraphs(docs, text).withColumn(out, found("_lines")).drop("_lines")

@@ -1,5 +1,6 @@
 """The ten operators and the pipeline: brute force on small tables, and odd rows."""
 
+import random
 import re
 import time
 from collections import Counter
@@ -327,6 +328,49 @@ def test_licenses(spark, odd, empty):
     assert licenses.scan(odd, model).columns == [*odd.columns, "licenses"] and licenses.scan(empty, licenses.train(empty)).count() == 0
 
 
+def test_licenses_short_and_unlisted(spark):
+    said = {"MIT License": "mit", "License: MIT": "mit", "SPDX-License-Identifier: MIT": "mit", "BSD 3-Clause License": "bsd", "GPLv3": "gpl",
+            "Published under the Eclipse Public License": "unknown", "Licensed under the Foobar Quux License": "unknown", "SPDX-License-Identifier: GPL-2.0-only": "gpl",
+            "CC BY-SA 4.0": "cc-by-sa", "the driving license": None, "MIT": None, "All rights reserved.": None, "onlyou eraton thehey": None}
+    docs = spark.createDataFrame([(k, line) for k, line in enumerate(said)], "doc_id long, text string")
+    got = {r.text: [x.family for x in r.licenses] for r in licenses.scan(docs, licenses.train(docs)).collect()}
+    assert got == {line: [family] if family else [] for line, family in said.items()}
+
+
+def test_licenses_against_every_window(spark):
+    """Each window of each line, scored alone by a plain sum, gives the same entries; one line has 60,000 words."""
+    rng = random.Random(9)
+    sentences = [t for name in licenses.TEMPLATES for t in licenses.statements(name)] + list(licenses.NEAR_MISSES)
+    filler = [f"w{k}" for k in range(300)]
+
+    def line(n):
+        parts = [rng.choice(sentences) if rng.random() < 0.04 else rng.choice(filler) for _ in range(n)]
+        return " ".join(parts).title()
+
+    texts = ["\n".join(line(rng.choice((0, 1, 2, 5, 30, 47, 48, 49, 72, 73, 200))) for _ in range(rng.randint(1, 9))) for _ in range(40)]
+    texts += [line(60_000), "", "\n\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(3)
+    model = licenses.train(docs)
+    rows = licenses.paragraphs(docs, "text").collect()
+    want = {}
+    for r in rows:
+        best = {}
+        for k, words in enumerate(r._lines):
+            h = np.array(words, np.int64).view(np.uint64)
+            for at in range(0, 1 if len(h) <= 48 else len(h) - 24, 24):
+                w = h[at:at + 48]
+                got = model.scan(w) if len(w) else None
+                if got and (got[1], got[2]) > best.get((k + 1, got[0]), (-1.0, -1.0)):
+                    best[k + 1, got[0]] = got[1], got[2]
+        want[r.doc_id] = best
+    got = {r.doc_id: {(x.line, x.family): (x.probability, x.confirmed) for x in r.licenses} for r in licenses.scan(docs, model).collect()}
+    assert {k: list(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    assert sum(map(len, want.values())) > 100
+    for key in want:
+        for entry in want[key]:
+            assert abs(got[key][entry][0] - want[key][entry][0]) < 1e-4
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(6)
     centre = rng.normal(size=(30, 32))
