@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from speechlake.operators.checkpoints import settle
+
 BLOCK = "_block"
 
 
@@ -108,6 +110,17 @@ def number_rows(
     return running_sum(df, keys, order, F.lit(1).cast("bigint"), out, block)
 
 
+def number_all(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """1, 2, 3 … over the whole table in the given order.
+
+    Blocks are the parts of a range partitioning by ``order``, as large as Spark's sample of the rows makes them, whatever
+    the values are; the offsets run over one row per part. The parts are written, since a second sample could cut
+    elsewhere; runs a job.
+    """
+    parts = df.repartitionByRange(*order).withColumn(BLOCK, F.spark_partition_id())
+    return number_rows(settle(parts), [], order, out).drop(BLOCK)
+
+
 def order_statistics(
     df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Callable[[Column], Column]],
     width: float,

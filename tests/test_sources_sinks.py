@@ -11,6 +11,7 @@ from speechlake.sinks import render
 from speechlake.sinks.documents import assemble, items, piece
 from speechlake.sources import documents as docs
 from speechlake.sources import tables as src
+from speechlake.operators.checkpoints import settle
 from speechlake.sources.manifest import arrival_order, read_manifest
 
 
@@ -119,3 +120,25 @@ def test_audit_files_and_clip_tables(spark, tmp_path):
     assert clips.count() == 1 and saved.count() == 2
     spark.sql("DROP TABLE known_clips")
     spark.sql("DROP TABLE known_landmarks")
+
+
+def test_arrivals_spread_over_parts(spark, monkeypatch):
+    """Times of every recording, of some and of none: numbers are dense and in order, and no part holds most of the rows."""
+    from speechlake.operators import blocks
+
+    written = []
+    monkeypatch.setattr(blocks, "settle", lambda df: written.append(settle(df)) or written[-1])
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        for share in (0, 3, 100):
+            rows = [(f"item{k:05d}", f"2026-01-0{k % 3 + 1}T00:00:{k % 60:02d}" if k % 100 < share else "") for k in range(4000)]
+            df = spark.createDataFrame(rows[::-1], "item string, started_at string").repartition(5)
+            got = blocks.number_all(df, ["started_at", "item"], "n").orderBy("n").collect()
+            assert [(r.item, r.started_at) for r in got] == sorted(rows, key=lambda r: (r[1], r[0]))
+            assert [r.n for r in got] == list(range(1, 4001))
+            sizes = [r["count"] for r in written[-1].groupBy(blocks.BLOCK).count().collect()]
+            assert len(sizes) > 1 and max(sizes) < 2 * 4000 / len(sizes)
+    finally:
+        spark.conf.set(name, before)
