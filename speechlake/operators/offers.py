@@ -60,6 +60,20 @@ def leaderboard(runs: DataFrame, order: str, near: float = 0.999) -> DataFrame:
     ).drop("_first")
 
 
+def configuration_table(runs: DataFrame) -> DataFrame:
+    """What the runs of each configuration made: ``runs, segments, chars, mean_logprob, rtf``, fastest first.
+
+    ``segments`` and ``chars`` are totals. The mean log probability is that of all segments, a run's mean counting as
+    often as it has segments; ``rtf`` is all audio over all time. No segments or no time: null.
+    """
+    weight = F.when(F.col("mean_logprob").isNotNull(), F.col("segments"))
+    return runs.groupBy("config").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("segments").alias("segments"), F.sum("chars").alias("chars"),
+        (F.sum(F.col("mean_logprob") * weight) / F.nullif(F.sum(weight), F.lit(0))).alias("mean_logprob"),
+        (F.sum("audio_s") / F.nullif(F.sum("elapsed_s"), F.lit(0))).alias("rtf"),
+    ).orderBy(F.desc("rtf"))
+
+
 def best_configuration(rated: DataFrame, accepted: str) -> DataFrame:
     """Fastest accepted run of each configuration, fastest first."""
     return rated.where(F.col(accepted)).groupBy("config").agg(

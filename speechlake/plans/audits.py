@@ -11,6 +11,7 @@ from speechlake.operators.checkpoints import settle
 from speechlake.operators.turns import build_turns
 from speechlake.plans import corpus as c
 from speechlake.plans.corpus import table
+from speechlake.sinks import files as sink
 
 
 def _talks(spark, sf):
@@ -89,6 +90,13 @@ def summary(spark, sf):
     return one.select(*[F.round(n, 6).alias(n) if n in doubles else n for n in one.columns])
 
 
+def report(spark, sf):
+    """Totals and the lines of the flagged recordings."""
+    rows = settle(audit_rows(spark, sf))
+    return sink.audit_report(rows, ta.corpus_summary(rows, words(spark, sf), documents(spark, sf), listing(spark, sf))).withColumn(
+        "rank", F.round("rank", 6))
+
+
 def candidates(spark, sf):
     return ta.candidates(audit_rows(spark, sf))
 
@@ -211,6 +219,7 @@ def collisions(spark, sf):
 
 QUERIES = {
     "q1_q2_snk9_transcript_audit": transcript_audit,
+    "snk9_report": report,
     "q3_a6_corpus_summary": summary,
     "q4_candidates": candidates,
     "q5_flagged_report": flagged,
@@ -342,6 +351,19 @@ INDEX = """SELECT audio_key, 'transcripciones/' || audio_key || '.json' AS trans
   audio_key % 11 <> 0 AND audio_key % 4 <> 0 AS complete FROM audios"""
 
 
+def _report_head():
+    """The head lines as SQL expressions over the totals."""
+    share = lambda c: f"printf('%.2f%%', {c} * 100)"
+    fields = {"total_scored_words": "scored", "mean_word_probability": share("mean_p"), "words_below_0_5_rate": share("low_p"),
+              "words_below_0_3_rate": share("very_low_p"), "max_segment_overlap_seconds": "printf('%.2f', longest)"}
+
+    class Named(dict):
+        def __missing__(self, name):
+            return f"' || {fields.get(name, name)} || '"
+
+    return ", ".join("'" + line % Named() + "'" for line in sink.REPORT_HEAD)
+
+
 def _pending(work, suffixes, also="true"):
     listed = ", ".join(f"'{s}'" for s in suffixes)
     return (f"SELECT audio_key, '{work}' AS work FROM talks WHERE NOT (({also}) AND audio_key IN "
@@ -377,6 +399,20 @@ ORACLES = {
           (SELECT string_agg(l || '=' || n, ';' ORDER BY l) FROM (SELECT coalesce(language, 'None') AS l, count(*) AS n FROM audit WHERE ok GROUP BY 1)) AS languages,
           (SELECT string_agg(f || '=' || n, ';' ORDER BY f) FROM (SELECT f, count(*) AS n FROM (SELECT unnest(flags) AS f FROM audit) GROUP BY 1)) AS flag_counts
         FROM counts, probs, tenth""",
+    "snk9_report": f"""WITH {AUDIT},
+        sw AS MATERIALIZED (SELECT probability AS p FROM rwords JOIN audit USING (audio_key) WHERE ok),
+        one AS (SELECT count(*) AS audio_files, count(*) FILTER (WHERE segment_overlaps > 0) AS files_with_segment_overlaps,
+          sum(segment_overlaps)::BIGINT AS segment_overlap_events, max(max_overlap) AS longest,
+          (SELECT count(*) FROM documents) AS json_files, (SELECT count(*) FROM sw) AS scored, (SELECT coalesce(avg(p), 0) FROM sw) AS mean_p,
+          (SELECT coalesce(count(*) FILTER (WHERE p < 0.5) / nullif(count(*), 0), 0) FROM sw) AS low_p,
+          (SELECT coalesce(count(*) FILTER (WHERE p < 0.3) / nullif(count(*), 0), 0) FROM sw) AS very_low_p,
+          (SELECT count(*) FROM listing WHERE suffix = '.txt') AS txt_files,
+          (SELECT count(*) FROM listing WHERE suffix = '.srt') AS srt_files FROM audit),
+        head AS (SELECT unnest([{_report_head()}]) AS value, unnest(range({len(sink.REPORT_HEAD)})) AS k FROM one)
+        SELECT 0 AS part, k::DOUBLE AS rank, NULL::VARCHAR AS audio_key, value FROM head
+        UNION ALL SELECT 1, round(coalesce(mean, -1), 6), audio_key::VARCHAR, '| ' || audio_key || ' | ' || segments || ' | ' || words
+          || ' | ' || coalesce(printf('%.1f%%', mean * 100), '—') || ' | ' || array_to_string(flags, ', ') || ' |'
+        FROM audit WHERE len(flags) > 0""",
     "q4_candidates": f"""WITH {AUDIT} SELECT 'empty' AS list, audio_key FROM audit
           WHERE list_has_any(flags, ['empty_transcript', 'near_empty_transcript'])
         UNION ALL SELECT 'no_word_times', audio_key FROM audit WHERE list_contains(flags, 'missing_word_timestamps')

@@ -93,6 +93,12 @@ def _best(accepted):
     return query
 
 
+def configurations(spark, sf):
+    runs = _runs(spark, sf).withColumn("segments", F.col("run.l_partkey") % 50).withColumn("chars", F.col("run.l_orderkey") % 5000)
+    made = offers.configuration_table(runs)
+    return made.withColumn("mean_logprob", F.round("mean_logprob", 6)).withColumn("rtf", F.round("rtf", 6))
+
+
 def _recordings(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", (F.col("o_totalprice") / 1000).alias("seconds"))
 
@@ -239,6 +245,7 @@ QUERIES = {
     "t1_ranked_offers": ranked,
     "a10_best_same_speakers": _best("same_speakers"),
     "a10_best_same_text": _best("same_text"),
+    "a10_configuration_table": configurations,
     "p10_tile_clips": clips,
     "a7_voice_seconds": voiced,
     "p11_sliding_windows": slides,
@@ -332,6 +339,9 @@ ORACLES = {
         FROM runs, one WHERE n_spk = n1 GROUP BY 1""",
     "a10_best_same_text": f"""WITH {RUNS} SELECT l_linenumber AS config, count(*) AS runs, round(max(rtf), 6) AS best_rtf
         FROM runs, one WHERE 1 - l_discount >= 0.97::DOUBLE AND -l_tax >= lp1 GROUP BY 1""",
+    "a10_configuration_table": """SELECT l_linenumber AS config, count(*) AS runs, sum(l_partkey % 50)::BIGINT AS segments,
+        sum(l_orderkey % 5000)::BIGINT AS chars, round(sum(-l_tax * (l_partkey % 50)) / nullif(sum(l_partkey % 50), 0), 6) AS mean_logprob,
+        round(sum(l_extendedprice) / nullif(sum(l_quantity), 0), 6) AS rtf FROM lineitem GROUP BY 1""",
     "p10_tile_clips": """SELECT o_orderkey, k * 30.0::DOUBLE AS start, least(k * 30.0::DOUBLE + 30, d) AS "end"
         FROM (SELECT o_orderkey, d, unnest(range(ceil(d / 30)::BIGINT)) AS k FROM
               (SELECT o_orderkey, o_totalprice / 1000 AS d FROM orders WHERE o_totalprice > 0))""",

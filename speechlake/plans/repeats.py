@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from speechlake.operators import coverage as cov
 from speechlake.operators import groups, matching
-from speechlake.operators.checkpoints import settle
+from speechlake.operators.checkpoints import checkpoint_dir, settle
 from speechlake.plans.corpus import TOKENS, _tokens, grams, grams_sql, spread, table
+from speechlake.sinks import files as sink
+from speechlake.sinks import published
 from speechlake.sources.manifest import arrival_order
 
 VOTES = 8
@@ -60,6 +64,25 @@ def clip_hits(spark, sf):
     return matching.search_clips(docs(spark, sf), clips, CLIP_VOTES)
 
 
+def saved_clip_hits(spark, sf):
+    """The clips are saved as bucketed tables, loaded and searched."""
+    name, path = f"known_{uuid.uuid4().hex}", f"{checkpoint_dir(spark)}/clips-{uuid.uuid4().hex}"
+    sink.save_clips(table(spark, sf, "benchmark").select("item_id"), grams(spark, sf, "benchmark", "item_id"), name, path=path)
+    try:
+        return settle(matching.search_saved_clips(docs(spark, sf), sink.load_clips(spark, name)[1], CLIP_VOTES))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}_clips")
+        spark.sql(f"DROP TABLE IF EXISTS {name}_landmarks")
+
+
+def published_hits(spark, sf):
+    """Two versions are published one after the other; the reader gets the second."""
+    root, hits = f"{checkpoint_dir(spark)}/published-{uuid.uuid4().hex}", clip_hits(spark, sf)
+    published.publish_table(hits.where(F.col("n_hashes") > CLIP_VOTES), root)
+    published.publish_table(hits, root)
+    return published.read_published(spark, root)
+
+
 def recognised_spans(spark, sf):
     return cov.merge_intervals(clip_hits(spark, sf), ["capture"], CELL)
 
@@ -106,6 +129,8 @@ QUERIES = {
     "j5_incremental_matches": incremental_matches,
     "a2_w2_t2_corpus_matches": corpus_matches,
     "j6_search_clips": clip_hits,
+    "snk12_j6_saved_clips": saved_clip_hits,
+    "snk14_published_hits": published_hits,
     "w3_merge_intervals": recognised_spans,
     "w4_coverage": clip_coverage,
     "w4_coverage_total": coverage_total,
@@ -230,6 +255,8 @@ ORACLES = {
     "j5_incremental_matches": f"WITH {INCREMENTAL}, {_clusters(VOTES)} {MATCH_SQL}",
     "a2_w2_t2_corpus_matches": f"WITH {PAIRS}, {_clusters(VOTES)} {MATCH_SQL}",
     "j6_search_clips": f"WITH {HITS} SELECT * FROM hits",
+    "snk12_j6_saved_clips": f"WITH {HITS} SELECT * FROM hits",
+    "snk14_published_hits": f"WITH {HITS} SELECT * FROM hits",
     "w3_merge_intervals": f"WITH {SPANS} SELECT * FROM spans",
     "w4_coverage": f"WITH {COVERED} SELECT *, round(covered / nullif(duration, 0), 6) AS share FROM per",
     "w4_coverage_total": f"""WITH {COVERED}

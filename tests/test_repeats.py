@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from speechlake.operators import coverage as cov
 from speechlake.operators import groups, matching
 from speechlake.operators.blocks import middle_ranks, nearest_rank, order_statistics
+from speechlake.sinks import files
 
 MARK = "item bigint, hash bigint, t bigint"
 
@@ -190,3 +191,41 @@ def test_order_statistics(spark, width):
         ordered = sorted(data[r.k])
         assert (r._low + r._high) / 2 == pytest.approx(statistics.median(ordered))
         assert r.p == ordered[round((len(ordered) - 1) * 0.1)]
+
+
+@pytest.mark.parametrize("hot_pairs", [1, 40, 10**9])
+def test_incremental_matches_whatever_is_hot(spark, hot_pairs):
+    rows = [(i, h % 9, t) for i, h, t in random_marks(8)]
+    df = spark.createDataFrame([(i, h, t, (i * 7) % 24) for i, h, t in rows], MARK + ", arrival bigint")
+    want = matching.cluster_votes(matching.incremental_pairs(df), 3).collect()
+    got = matching.incremental_matches(df, 3, hot_pairs)
+    assert sorted(want) == sorted(got.select(*want[0].__fields__).collect())
+
+
+@pytest.mark.parametrize("hot_rows", [5, 10**9])
+def test_saved_clips(spark, tmp_path, hot_rows):
+    captures = spark.createDataFrame([(i, h % 11, t) for i, h, t in random_marks(6)], MARK)
+    known = spark.createDataFrame([(i, h % 11, t) for i, h, t in random_marks(7, items=5)] * 2, MARK)
+    files.save_clips(known.select("item").distinct(), known, "told", 4, str(tmp_path / "told"))
+    try:
+        saved = files.load_clips(spark, "told")[1]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = matching.search_saved_clips(captures, saved, 4, hot_rows, salts=3)
+        want = matching.search_clips(captures, known, 4)
+        assert found.count() > 0 and sorted(found.collect()) == sorted(want.select(*found.columns).collect())
+        if hot_rows > 5:  # the saved side goes into the join as it lies: no exchange above its scan
+            executed = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].split("\n")
+            at = next(i for i, line in enumerate(executed) if "told_landmarks" in line)
+            above, depth = [], executed[at].index("FileScan")
+            for line in reversed(executed[:at]):
+                mark = len(line) - len(line.lstrip(" :+-"))
+                if mark < depth:
+                    depth = mark
+                    above.append(line)
+                    if "Join" in line:
+                        break
+            assert "Join" in above[-1] and not any("Exchange" in line for line in above)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for part in ("clips", "landmarks"):
+            spark.sql(f"DROP TABLE IF EXISTS told_{part}")

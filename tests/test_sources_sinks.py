@@ -3,11 +3,12 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from speechlake.operators import transcript_audit as ta
 from speechlake.sinks import files as sink
-from speechlake.sinks import render
+from speechlake.sinks import published, render
 from speechlake.sinks.documents import assemble, items, piece
 from speechlake.sources import documents as docs
 from speechlake.sources import tables as src
@@ -142,3 +143,44 @@ def test_arrivals_spread_over_parts(spark, monkeypatch):
             assert len(sizes) > 1 and max(sizes) < 2 * 4000 / len(sizes)
     finally:
         spark.conf.set(name, before)
+
+
+def test_published_versions(spark, tmp_path):
+    root = str(tmp_path / "result")
+    with pytest.raises(FileNotFoundError):
+        published.current(spark, root)
+    for n in (3, 5):
+        published.publish_table(spark.range(n), root)
+    reader = published.read_published(spark, root)
+
+    def fails(folder):
+        spark.range(2).write.parquet(folder)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        published.publish(spark, root, fails)
+    assert published.read_published(spark, root).count() == 5
+    assert len([f for f in os.listdir(root) if f.startswith("version-")]) == 2
+    # A claim of a writer that died, and a newer version while a reader holds the one before.
+    open(f"{root}/_published/claim-{3:012d}", "w").close()
+    published.publish_table(spark.range(7), root)
+    assert published.read_published(spark, root).count() == 7 and reader.count() == 5
+    assert [n for n, _ in published.versions(spark, root)] == [2, 4]
+
+
+def test_audit_report(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 3, 2, 0.5, ["x", "y"]), ("b", 0, 0, None, ["z"]), ("c", 1, 1, 0.9, [])],
+                                 "audio_key string, segments bigint, words bigint, mean_word_probability double, flags array<string>")
+    summary = spark.createDataFrame(
+        [(3, 2, 1, 0, 8, None, 0.03125, 0.5, 4, 1, 2.125)],
+        "audio_files bigint, json_files bigint, txt_files bigint, srt_files bigint, total_scored_words bigint, mean_word_probability double, "
+        "words_below_0_5_rate double, words_below_0_3_rate double, segment_overlap_events bigint, files_with_segment_overlaps bigint, "
+        "max_segment_overlap_seconds double")
+    report = sink.audit_report(rows, summary)
+    picked = spark.createDataFrame([("empty", "a")], "list string, audio_key string")
+    sink.write_audit(rows, summary, picked, str(tmp_path / "audit"), report)
+    lines = content(str(tmp_path / "audit" / "report")).split("\n")
+    assert lines[2:9] == ["- Audios: 3", "- JSON/TXT/SRT: 2/1/0", "- Palabras evaluadas: 8", "- Confianza media: 0.00%",
+                          "- Palabras con confianza menor a 50%: 3.12%", "- Palabras con confianza menor a 30%: 50.00%",
+                          "- Solapamientos breves entre bloques: 4 en 1 archivos; máximo 2.12 s"]
+    assert lines[-3:] == ["| b | 0 | 0 | — | z |", "| a | 3 | 2 | 50.0% | x, y |", ""]
