@@ -11,7 +11,7 @@ from speechlake.operators.units import with_positions
 from speechlake.plans import audits, speech
 from speechlake.plans import corpus as c
 from speechlake.sinks import documents as docs
-from speechlake.sources.documents import DIARIZATION_DDL, SPEAKERS_DDL, TRANSCRIPT_DDL
+from speechlake.sources.documents import DIARIZATION_DDL, SPEAKERS_DDL, TRANSCRIPT_DDL, read_documents
 
 MODEL = "hub/speaker-community-1"
 CREATED = "2026-10-12T00:00:00+00:00"
@@ -24,6 +24,31 @@ def _round_trip(spark, fragments, keys, ddl):
     return docs.read_containers(spark, path, keys).select(*keys, F.from_json("document", ddl, {"mode": "FAILFAST"}).alias("d"))
 
 
+def _as_files(spark, fragments, ddl):
+    """A file per recording, as other programs leave them, read by the document reader; every 17th was cut short."""
+    folder = f"{checkpoint_dir(spark)}/documents-{uuid.uuid4().hex}"
+    docs.write_containers(fragments, ["audio_key"], f"{folder}/containers")
+    whole = docs.read_containers(spark, f"{folder}/containers", ["audio_key"])
+    cut = F.when(F.col("audio_key") % 17 == 0, F.substring("document", F.lit(1), F.floor(F.length("document") / 2).cast("int")))
+    whole.select("audio_key", F.coalesce(cut, "document").alias("value")).write.partitionBy("audio_key").text(f"{folder}/files")
+    found = read_documents(spark, f"{folder}/files", ddl, ".txt")
+    return found.withColumn("audio_key", F.regexp_extract("audio_key", "audio_key=([0-9]+)/", 1).cast("bigint"))
+
+
+def transcript_files(spark, sf):
+    found = _as_files(spark, _transcripts(spark, sf), TRANSCRIPT_DDL)
+    words = F.aggregate("segments", F.lit(0).cast("long"), lambda n, s: n + F.size(s["words"]))
+    return found.select("audio_key", "parse_ok", "audio", "language", "duration", F.when(F.col("parse_ok"), F.size("segments")).cast("long").alias("n_segments"),
+                        words.alias("n_words"))
+
+
+def speakers_files(spark, sf):
+    units = c.in_seconds(c.talk_aligned(spark, sf))
+    found = _as_files(spark, docs.speakers_document(_heads(spark, sf), units, c.in_seconds(c.talk_turns(spark, sf))), SPEAKERS_DDL)
+    counted = lambda name: F.when(F.col("parse_ok"), F.size(name)).cast("long").alias(f"n_{name}")
+    return found.select("audio_key", "parse_ok", "speaker_scope", counted("units"), counted("turns"), F.element_at("turns", -1)["end"].alias("last_end"))
+
+
 def _heads(spark, sf):
     audio = F.concat(F.col("audio_key").cast("string"), F.lit(".wav"))
     return speech.speakers(spark, sf).select("audio_key", audio.alias("audio"), F.split("speakers", ",").alias("speakers"))
@@ -60,7 +85,7 @@ def speakers_document(spark, sf):
                        F.posexplode("d.turns").alias("turn_no", "t")).select("*", "t.*").drop("t")
 
 
-def transcript_document(spark, sf):
+def _transcripts(spark, sf):
     spoken = c.talk_segments(spark, sf)
     words = F.filter(F.transform(F.split("text", r"\s+"), lambda w: F.struct(
         F.lit(0.5).alias("start"), F.lit(None).cast("double").alias("end"), w.alias("word"), F.lit(0.25).alias("probability"))), lambda x: x["word"] != "")
@@ -70,7 +95,11 @@ def transcript_document(spark, sf):
         F.lit(0.125).alias("no_speech_prob"), no.alias("compression_ratio"), F.when(F.col("has_words"), words).alias("words"))
     heads = _heads(spark, sf).select("audio_key", "audio", F.lit("es").alias("language"), F.lit(0.5).alias("language_probability"),
                                      (F.col("audio_key") * 0.5).alias("duration"), no.alias("duration_after_vad"))
-    back = _round_trip(spark, docs.transcript_document(heads, segments), ["audio_key"], TRANSCRIPT_DDL)
+    return docs.transcript_document(heads, segments)
+
+
+def transcript_document(spark, sf):
+    back = _round_trip(spark, _transcripts(spark, sf), ["audio_key"], TRANSCRIPT_DDL)
     return back.select("audio_key", "d.language", "d.duration", F.explode("d.segments").alias("s")).select(
         "audio_key", "language", "duration", F.col("s.id").cast("long").alias("id"), "s.start", "s.end", "s.text",
         F.size("s.words").cast("long").alias("n_words"))
@@ -91,6 +120,8 @@ def index_document(spark, sf):
 QUERIES = {
     "p2_assigned_positions": assigned_positions,
     "snk1_transcript_json": transcript_document,
+    "src4_transcript_files": transcript_files,
+    "src5_speakers_files": speakers_files,
     "snk2_diarization_document": diarization_document,
     "snk4_speakers_json": speakers_document,
     "snk7_index_json": index_document,
@@ -106,6 +137,20 @@ ORACLES = {
           e_ms / 1000.0::DOUBLE AS "end", t AS text,
           CASE WHEN has_words THEN len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) ELSE 0 END::BIGINT AS n_words
         FROM shown WHERE t <> ''""",
+    "src4_transcript_files": f"""WITH {c.SEGMENTS_SQL}, shown AS (SELECT *, {c.collapse_sql('text')} AS t FROM segs),
+        held AS (SELECT audio_key, count(*) AS n, sum(CASE WHEN has_words THEN len(list_filter(regexp_split_to_array(text, '\\s+'),
+            lambda w: w <> '')) ELSE 0 END)::BIGINT AS k FROM shown WHERE t <> '' GROUP BY 1),
+        keys AS (SELECT DISTINCT audio_key, audio_key % 17 <> 0 AS ok FROM segs)
+        SELECT audio_key, ok AS parse_ok, CASE WHEN ok THEN audio_key || '.wav' END AS audio, CASE WHEN ok THEN 'es' END AS language,
+          CASE WHEN ok THEN audio_key * 0.5::DOUBLE END AS duration, CASE WHEN ok THEN coalesce(n, 0) END AS n_segments,
+          CASE WHEN ok THEN coalesce(k, 0) END AS n_words FROM keys LEFT JOIN held USING (audio_key)""",
+    "src5_speakers_files": f"""WITH {c.TURNS_SQL},
+        keys AS (SELECT DISTINCT audio_key, audio_key % 17 <> 0 AS ok FROM intervals),
+        u AS (SELECT audio_key, count(*) AS n FROM aligned GROUP BY 1),
+        t AS (SELECT audio_key, count(*) AS n, arg_max(end_ms, turn_no) AS e FROM turns GROUP BY 1)
+        SELECT k.audio_key, ok AS parse_ok, CASE WHEN ok THEN 'local_to_audio_file' END AS speaker_scope, CASE WHEN ok THEN coalesce(u.n, 0) END AS n_units,
+          CASE WHEN ok THEN coalesce(t.n, 0) END AS n_turns, CASE WHEN ok THEN e / 1000.0::DOUBLE END AS last_end
+        FROM keys k LEFT JOIN u ON k.audio_key = u.audio_key LEFT JOIN t ON k.audio_key = t.audio_key""",
     "snk2_diarization_document": f"""WITH {c.UNITS_SQL}, {_SPOKEN}, {_PLACED},
         lists AS (SELECT audio_key, 'diarization' AS list, p, s, e, speaker FROM placed
           UNION ALL SELECT audio_key, 'exclusive_diarization', p, s, least(e, coalesce(lead(s) OVER (PARTITION BY audio_key ORDER BY p), e)), speaker FROM placed)
