@@ -33,7 +33,10 @@ BROKEN = "_broken"
 def read_documents(
     spark: SparkSession, root: str, ddl: str, suffix: str, glob: str | None = None
 ) -> DataFrame:
-    """One row per file: ``audio_key`` (path without suffix), ``parse_ok``, then the fields."""
+    """One row per file: ``audio_key`` (path without suffix), ``parse_ok``, then the fields.
+
+    A document that does not parse has no fields: what the parser had read up to the break depends on where that is.
+    """
     docs = (
         spark.read.schema(f"{ddl}, {BROKEN} string")
         .option("multiLine", True).option("mode", "PERMISSIVE")
@@ -44,8 +47,9 @@ def read_documents(
     path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
     relative = under_root(path, root)
     key = F.substring(relative, F.lit(1), F.length(relative) - len(suffix))
-    fields = [c for c in docs.columns if c != BROKEN]
-    return docs.select(key.alias("audio_key"), F.col(BROKEN).isNull().alias("parse_ok"), *fields)
+    whole = F.col(BROKEN).isNull()
+    fields = [F.when(whole, F.col(c)).alias(c) for c in docs.columns if c != BROKEN]
+    return docs.select(key.alias("audio_key"), whole.alias("parse_ok"), *fields)
 
 
 def read_transcripts(spark: SparkSession, root: str) -> DataFrame:

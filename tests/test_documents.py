@@ -74,3 +74,18 @@ def test_positions(spark):
     for key in ("a0", "a1", "a2"):
         mine = sorted((r.pos, r.start, r.end, r.speaker) for r in got if r.audio_key == key)
         assert [m[0] for m in mine] == list(range(len(mine))) and [m[1:] for m in mine] == sorted(s[2:] for s in spans if s[0] == key)
+
+
+def test_broken_documents_have_no_fields(spark, tmp_path):
+    """Wherever a document is cut, inside units or turns too, nothing of it is taken."""
+    from speechlake.sources.documents import SPEAKERS_DDL, read_documents
+    unit = {"start": 0.5, "end": 1.5, "text": " a", "probability": 0.5, "speaker": "S0"}
+    whole = json.dumps({"audio": "b.wav", "speaker_scope": "x", "speakers": ["S0"], "units": [unit] * 2,
+                        "turns": [{"start": 0.5, "end": 1.5, "speaker": "S0", "text": "a a", "unit_count": 2}]})
+    for at in range(1, len(whole), 3):
+        (tmp_path / f"{at}.txt").write_text(whole[:at])
+    (tmp_path / "whole.txt").write_text(whole)
+    got = {r.audio_key: r for r in read_documents(spark, str(tmp_path), SPEAKERS_DDL, ".txt").collect()}
+    sound = got.pop("whole")
+    assert sound.parse_ok and (sound.audio, sound.speaker_scope, len(sound.units), len(sound.turns)) == ("b.wav", "x", 2, 1)
+    assert [k for k, r in got.items() if r.parse_ok or any(v is not None for v in r[2:])] == []
