@@ -53,6 +53,12 @@ def tables_from_transcripts(transcripts: DataFrame) -> tuple[DataFrame, DataFram
     return heads, segments, explode_words(transcripts)
 
 
+def _mean(p):
+    """The mean over billionths: whole numbers add up the same in any order of rows."""
+    whole = F.round(p * F.lit(1e9)).cast("bigint")
+    return F.sum(whole).cast("double") / F.lit(1e9) / F.nullif(F.count(p), F.lit(0))
+
+
 def _count_if(condition):
     return F.count_if(F.coalesce(condition, F.lit(False)))
 
@@ -79,7 +85,7 @@ def word_statistics(words: DataFrame) -> DataFrame:
     sums = words.groupBy("audio_key").agg(
         F.count(F.lit(1)).alias("words"),
         F.count(p).alias("scored"),
-        F.avg(p).alias("mean_word_probability"),
+        _mean(p).alias("mean_word_probability"),
         _count_if(p < LOW).alias("low_confidence_words"),
         _count_if(p < VERY_LOW).alias("very_low_confidence_words"),
     )
@@ -194,7 +200,7 @@ def corpus_summary(
     total = F.nullif(F.count(p), F.lit(0))
     rate = lambda c, name: (_count_if(c) / total).alias(name)
     probabilities = scored.agg(
-        F.count(p).alias("total_scored_words"), F.avg(p).alias("mean_word_probability"),
+        F.count(p).alias("total_scored_words"), _mean(p).alias("mean_word_probability"),
         rate(p < LOW, "words_below_0_5_rate"), rate(p < VERY_LOW, "words_below_0_3_rate"),
         rate(p >= GOOD, "words_at_least_0_8_rate"),
     )

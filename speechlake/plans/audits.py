@@ -94,7 +94,7 @@ def report(spark, sf):
     """Totals and the lines of the flagged recordings."""
     rows = settle(audit_rows(spark, sf))
     return sink.audit_report(rows, ta.corpus_summary(rows, words(spark, sf), documents(spark, sf), listing(spark, sf))).withColumn(
-        "rank", F.round("rank", 6))
+        "rank", _six("rank"))
 
 
 def candidates(spark, sf):
@@ -155,6 +155,11 @@ def _speaker_rows(spark, sf):
     return sa.audit_speakers(diarizations, intervals, units, turns, transcripts)
 
 
+def _six(name):
+    """Six decimals, ties upwards, after twelve, so that a tie in decimals is one in both engines."""
+    return F.round(F.col(name).cast("decimal(18,12)"), 6).cast("double")
+
+
 def speaker_audit(spark, sf):
     rows = _speaker_rows(spark, sf)
     return rows.select(
@@ -364,6 +369,11 @@ def _report_head():
     return ", ".join("'" + line % Named() + "'" for line in sink.REPORT_HEAD)
 
 
+def _mean(p):
+    """The mean over billionths, which add up the same in any order."""
+    return f"sum(round({p} * 1e9::DOUBLE)::BIGINT)::BIGINT::DOUBLE / 1e9::DOUBLE / count({p})"
+
+
 def _pending(work, suffixes, also="true"):
     listed = ", ".join(f"'{s}'" for s in suffixes)
     return (f"SELECT audio_key, '{work}' AS work FROM talks WHERE NOT (({also}) AND audio_key IN "
@@ -399,18 +409,18 @@ ORACLES = {
           (SELECT string_agg(l || '=' || n, ';' ORDER BY l) FROM (SELECT coalesce(language, 'None') AS l, count(*) AS n FROM audit WHERE ok GROUP BY 1)) AS languages,
           (SELECT string_agg(f || '=' || n, ';' ORDER BY f) FROM (SELECT f, count(*) AS n FROM (SELECT unnest(flags) AS f FROM audit) GROUP BY 1)) AS flag_counts
         FROM counts, probs, tenth""",
-    "snk9_report": f"""WITH {AUDIT},
+    "snk9_report": f"""WITH {AUDIT.replace("avg(probability) AS mean", _mean("probability") + " AS mean")},
         sw AS MATERIALIZED (SELECT probability AS p FROM rwords JOIN audit USING (audio_key) WHERE ok),
         one AS (SELECT count(*) AS audio_files, count(*) FILTER (WHERE segment_overlaps > 0) AS files_with_segment_overlaps,
           sum(segment_overlaps)::BIGINT AS segment_overlap_events, max(max_overlap) AS longest,
-          (SELECT count(*) FROM documents) AS json_files, (SELECT count(*) FROM sw) AS scored, (SELECT coalesce(avg(p), 0) FROM sw) AS mean_p,
+          (SELECT count(*) FROM documents) AS json_files, (SELECT count(*) FROM sw) AS scored, (SELECT coalesce({_mean('p')}, 0) FROM sw) AS mean_p,
           (SELECT coalesce(count(*) FILTER (WHERE p < 0.5) / nullif(count(*), 0), 0) FROM sw) AS low_p,
           (SELECT coalesce(count(*) FILTER (WHERE p < 0.3) / nullif(count(*), 0), 0) FROM sw) AS very_low_p,
           (SELECT count(*) FROM listing WHERE suffix = '.txt') AS txt_files,
           (SELECT count(*) FROM listing WHERE suffix = '.srt') AS srt_files FROM audit),
         head AS (SELECT unnest([{_report_head()}]) AS value, unnest(range({len(sink.REPORT_HEAD)})) AS k FROM one)
         SELECT 0 AS part, k::DOUBLE AS rank, NULL::VARCHAR AS audio_key, value FROM head
-        UNION ALL SELECT 1, round(coalesce(mean, -1), 6), audio_key::VARCHAR, '| ' || audio_key || ' | ' || segments || ' | ' || words
+        UNION ALL SELECT 1, round(coalesce(mean, -1)::DECIMAL(18, 12), 6)::DOUBLE, audio_key::VARCHAR, '| ' || audio_key || ' | ' || segments || ' | ' || words
           || ' | ' || coalesce(printf('%.1f%%', mean * 100), '—') || ' | ' || array_to_string(flags, ', ') || ' |'
         FROM audit WHERE len(flags) > 0""",
     "q4_candidates": f"""WITH {AUDIT} SELECT 'empty' AS list, audio_key FROM audit
