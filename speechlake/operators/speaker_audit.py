@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from speechlake.functions.rounding import round_exact
 from speechlake.functions.text import is_blank
 from speechlake.operators.align import UNKNOWN
 
@@ -24,15 +25,23 @@ LITTLE_SPEECH = "muy_poca_voz"
 FRAGMENTED = "speaker_fragmentado:"
 
 
+MICRO = 1_000_000
+
+
+def _length():
+    """Length in whole microseconds, so sums do not depend on the order of rows."""
+    micro = lambda name: F.round(F.col(name) * F.lit(float(MICRO))).cast("bigint")
+    return micro("end") - micro("start")
+
+
 def fragmented_speakers(turns: DataFrame) -> DataFrame:
     """Speakers heard often but only in scraps, joined by ``+`` per recording."""
-    length = F.col("end") - F.col("start")
     per_speaker = turns.where(F.col("speaker") != UNKNOWN).groupBy("audio_key", "speaker").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(length).alias("_total"), F.avg(length).alias("_mean")
+        F.count(F.lit(1)).alias("_n"), F.sum(_length()).alias("_total")
     )
     scraps = per_speaker.where(
-        (F.col("_n") >= FRAGMENT_TURNS) & (F.col("_total") < FRAGMENT_TOTAL)
-        & (F.col("_mean") < FRAGMENT_MEAN)
+        (F.col("_n") >= FRAGMENT_TURNS) & (F.col("_total") < int(FRAGMENT_TOTAL * MICRO))
+        & (F.col("_total") < F.col("_n") * int(FRAGMENT_MEAN * MICRO))
     )
     return scraps.groupBy("audio_key").agg(
         F.array_join(F.array_sort(F.collect_set("speaker")), "+").alias("fragmented")
@@ -50,15 +59,14 @@ def audit_speakers(
     ``unassigned_words`` counts blank speakers; the label for unknown speakers has its own column.
     """
     zero = F.lit(0)
-    length = F.col("end") - F.col("start")
-    speech = exclusive.groupBy("audio_key").agg(F.sum(length).alias("_speech"))
+    speech = exclusive.groupBy("audio_key").agg((F.sum(_length()) / F.lit(float(MICRO))).alias("_speech"))
     said = units.groupBy("audio_key").agg(
         F.count(F.lit(1)).alias("words"),
         F.count_if(is_blank(F.col("speaker"))).alias("unassigned_words"),
         F.count_if(F.col("speaker") == UNKNOWN).alias("unknown_words"),
     )
     spoken = turns.groupBy("audio_key").agg(
-        F.count(F.lit(1)).alias("turns"), F.count_if(length < SHORT_TURN).alias("_short")
+        F.count(F.lit(1)).alias("turns"), F.count_if(_length() < int(SHORT_TURN * MICRO)).alias("_short")
     )
     heard = transcripts.select("audio_key", has_speech().alias("has_speech"))
     row = diarizations
@@ -107,12 +115,21 @@ def display_rows(rows: DataFrame) -> DataFrame:
 
 
 def speaker_summary(rows: DataFrame, audios: DataFrame, latest: DataFrame) -> DataFrame:
-    """One row: recordings, finished, pending, current errors, warnings, mean seconds per file."""
+    """One row: recordings, finished, pending, current errors, warnings, mean seconds per file.
+
+    The mean is taken over whole tenths of seconds and rounded to tenths, ties to even, in integers.
+    """
+    tenths = F.round(round_exact(F.col("processing_seconds"), 1) * 10).cast("bigint")
+    left = F.pmod("_tenths", "_timed")
+    whole = F.expr("(_tenths - pmod(_tenths, _timed)) div _timed")
+    up = (left * 2 > F.col("_timed")) | ((left * 2 == F.col("_timed")) & (whole % 2 != 0))
     done = rows.agg(
         F.count(F.lit(1)).alias("finished"),
         F.count_if(F.size("warnings") > 0).alias("quality_warnings"),
-        F.bround(F.coalesce(F.avg(F.bround("processing_seconds", 1)), F.lit(0.0)), 1)
-        .alias("mean_seconds_per_file"),
+        F.sum(tenths).alias("_tenths"), F.nullif(F.count(tenths), F.lit(0)).alias("_timed"),
+    ).select(
+        "finished", "quality_warnings",
+        F.coalesce((whole + up.cast("int")) / F.lit(10.0), F.lit(0.0)).alias("mean_seconds_per_file"),
     )
     known = audios.agg(F.count(F.lit(1)).alias("audios"))
     errors = latest.agg(F.count_if(F.col("status") == "error").alias("current_errors"))

@@ -164,7 +164,7 @@ def speaker_audit(spark, sf):
     rows = _speaker_rows(spark, sf)
     return rows.select(
         "audio_key", "num_speakers", "words", "unassigned_words", "unknown_words", "turns",
-        F.round("coverage", 6).alias("coverage"), F.round("short_turn_rate", 6).alias("short_turn_rate"),
+        *[_six(n).alias(n) for n in ("coverage", "short_turn_rate")],
         "fragmented", "has_speech", F.array_join("warnings", ",").alias("warnings"),
         F.array_join("notes", ",").alias("notes"))
 
@@ -315,17 +315,17 @@ reach AS (SELECT *, max(ue) OVER (PARTITION BY audio_key, run ORDER BY seq
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM runs),
 marked AS (SELECT *, sum(CASE WHEN far IS NULL OR us - far > 60 THEN 1 ELSE 0 END)
             OVER (PARTITION BY audio_key ORDER BY seq) AS turn_no FROM reach),
-turns2 AS (SELECT audio_key, turn_no, speaker, (max(ue) - arg_min(us, seq)) / 1000.0::DOUBLE AS len
+turns2 AS (SELECT audio_key, turn_no, speaker, max(ue) - arg_min(us, seq) AS len
            FROM marked GROUP BY ALL),
 dia AS (SELECT audio_key, CASE WHEN audio_key % 10 = 0 THEN 0 WHEN audio_key % 15 = 1 THEN 13
       ELSE count(DISTINCT speaker) END AS num_speakers,
     CASE WHEN audio_key % 12 <> 0 THEN (max(pos) * 60 + 20)::DOUBLE END AS length,
-    sum(e / 1000.0::DOUBLE - s / 1000.0::DOUBLE) AS speech, audio_key * 0.35::DOUBLE AS processing FROM intervals GROUP BY 1),
+    sum(e - s) / 1000.0::DOUBLE AS speech, audio_key * 0.35::DOUBLE AS processing FROM intervals GROUP BY 1),
 said AS (SELECT audio_key, count(*) AS words, count(*) FILTER (WHERE trim(speaker) = '') AS un,
     count(*) FILTER (WHERE speaker = 'UNKNOWN') AS unknown FROM units2 GROUP BY 1),
-spoken AS (SELECT audio_key, count(*) AS turns, count(*) FILTER (WHERE len < 0.75) AS short FROM turns2 GROUP BY 1),
+spoken AS (SELECT audio_key, count(*) AS turns, count(*) FILTER (WHERE len < 750) AS short FROM turns2 GROUP BY 1),
 scraps AS (SELECT audio_key, speaker FROM turns2 WHERE speaker <> 'UNKNOWN' GROUP BY 1, 2
-    HAVING count(*) >= 10 AND sum(len) < 30 AND avg(len) < 1),
+    HAVING count(*) >= 10 AND sum(len) < 30000 AND sum(len) < 1000 * count(*)),
 frag AS (SELECT audio_key, string_agg(speaker, '+' ORDER BY speaker) AS fragmented FROM scraps GROUP BY 1),
 heard AS (SELECT audio_key, audio_key % 6 > 0 OR coalesce(CASE WHEN audio_key % 18 <> 0 THEN duration_after_vad END, 0) > 0
     AS has_speech FROM heads),
@@ -334,7 +334,7 @@ merged AS (SELECT d.*, coalesce(words, 0) AS w, coalesce(un, 0) AS un2, coalesce
   FROM dia d LEFT JOIN said USING (audio_key) LEFT JOIN spoken USING (audio_key)
   LEFT JOIN frag USING (audio_key) LEFT JOIN heard USING (audio_key)),
 rows2 AS (SELECT audio_key, num_speakers, w AS words, un2 AS unassigned_words, unk AS unknown_words, t AS turns,
-    round(cov, 6) AS coverage, round(sr, 6) AS short_turn_rate, fragmented, has_speech, processing,
+    round(cov::DECIMAL(18, 12), 6)::DOUBLE AS coverage, round(sr::DECIMAL(18, 12), 6)::DOUBLE AS short_turn_rate, fragmented, has_speech, processing,
     concat_ws(',', CASE WHEN num_speakers < 1 THEN 'sin_hablantes' END,
       CASE WHEN num_speakers > 12 THEN 'demasiados_hablantes' END,
       CASE WHEN w = 0 AND coalesce(has_speech, true) THEN 'sin_texto_alineado' END,
@@ -451,7 +451,9 @@ ORACLES = {
     "q9_speaker_summary": f"""WITH {SPEAKERS}, {LOG}
         SELECT (SELECT count(*) FROM audios) AS audios, count(*) AS finished,
           count(*) FILTER (WHERE warnings <> '') AS quality_warnings,
-          round_even(avg(round_even(processing::DECIMAL(18, 4), 1))::DECIMAL(18, 6), 1)::DOUBLE AS mean_seconds_per_file,
+          (SELECT (k // n + CASE WHEN 2 * (k % n) > n OR (2 * (k % n) = n AND (k // n) % 2 = 1) THEN 1 ELSE 0 END) / 10.0::DOUBLE
+           FROM (SELECT sum(round(printf('%.1f', processing)::DOUBLE * 10)::BIGINT)::BIGINT AS k, count(*) AS n FROM rows2))
+            AS mean_seconds_per_file,
           (SELECT count(*) FROM latest WHERE status = 'error') AS current_errors,
           greatest(0, (SELECT count(*) FROM audios) - count(*)) AS pending FROM rows2""",
     "p9_latest_per_audio": f"WITH {LOG} SELECT * FROM latest",
