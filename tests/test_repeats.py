@@ -229,3 +229,25 @@ def test_saved_clips(spark, tmp_path, hot_rows):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for part in ("clips", "landmarks"):
             spark.sql(f"DROP TABLE IF EXISTS told_{part}")
+
+
+def recorded(monkeypatch):
+    """Rows of the tables that matching writes."""
+    sizes, real = [], matching.settle
+
+    def settle(df):
+        out = real(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(matching, "settle", settle)
+    return sizes
+
+
+def test_captures_under_unknown_hashes_are_not_moved(spark, monkeypatch):
+    captures = [(i, 1000 * i + t if t >= 40 else t, t) for i in range(3) for t in range(400)]
+    clips = [(9, h, h) for h in range(40)]
+    sizes = recorded(monkeypatch)
+    got = matching.search_clips(spark.createDataFrame(captures, MARK), spark.createDataFrame(clips, MARK), 30).collect()
+    assert sorted((r.capture, r.clip, r.n_hashes) for r in got) == [(0, 9, 40), (1, 9, 40), (2, 9, 40)]
+    assert max(sizes) == 120  # of 1,200
