@@ -251,3 +251,24 @@ def test_captures_under_unknown_hashes_are_not_moved(spark, monkeypatch):
     got = matching.search_clips(spark.createDataFrame(captures, MARK), spark.createDataFrame(clips, MARK), 30).collect()
     assert sorted((r.capture, r.clip, r.n_hashes) for r in got) == [(0, 9, 40), (1, 9, 40), (2, 9, 40)]
     assert max(sizes) == 120  # of 1,200
+
+
+def test_samples_of_common_text_hashes(spark, monkeypatch):
+    """Beyond several stretches, against a plain loop; hashes that occur once are not written."""
+    import hashlib
+
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    common = [(i % 60, "a b c d e", i) for i in range(150)]
+    rows = common + [(i, f"only {i}", 1) for i in range(500)]
+    order = sorted(common, key=lambda r: (int(md5(str(r[0]))[:3], 16), r[0], r[2]))
+    n, want = len(order), []
+    for i, (item, text, t) in enumerate(order):
+        first = int(md5(f"{text}-{i}")[:8], 16)
+        for k in range(20):
+            other, _, tb = order[(i + 1 + (first + k) % (n - 1)) % n]
+            if item < other:
+                want.append((item, other, t - tb, t))
+    sizes = recorded(monkeypatch)
+    table = spark.createDataFrame(rows, "item bigint, hash string, t bigint")
+    assert sorted(tuple(r) for r in matching.sampled_pairs(table).collect()) == sorted(want)
+    assert max(sizes, default=0) == n
