@@ -147,19 +147,29 @@ def redact(text: Column, secrets: Iterable[str] = (), pattern: str = TOKEN_PATTE
     return F.regexp_replace(text, pattern, F.lit(MASK))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def redacted_detail(
     body: Column, secrets: Iterable[str] = (), pattern: str = TOKEN_PATTERN
 ) -> Column:
     """Reason found in an error body: redacted, taken from its JSON keys, one line, cut.
 
     The first key with a value that is not empty, zero or false gives the reason, as JSON; the
-    last key counts even then. Other bodies are shown as they are.
+    last key counts even then. Other bodies are shown as they are. Only what starts as an object is parsed: nothing else has keys.
     """
-    clean = redact(body, secrets, pattern)
-    parsed = F.try_parse_json(clean)
-    found = [F.to_json(F.try_variant_get(parsed, f"$.{key}", "variant")) for key in ERROR_KEYS]
-    present = [F.when(value != "null", value) for value in found]
-    telling = [F.when(~value.isin('""', "0", "false", "[]", "{}"), value) for value in present]
-    reason = F.coalesce(*telling, present[-1], clean)
-    line = F.substring(collapse_ws(reason), 1, DETAIL_CHARS)
-    return F.when(line == "", F.lit(NO_REASON)).otherwise(line)
+    def reason(clean):
+        def told(values):
+            present = [F.when(values[i] != "null", values[i]) for i in range(len(ERROR_KEYS))]
+            telling = [F.when(~value.isin('""', "0", "false", "[]", "{}"), value) for value in present]
+            return F.coalesce(*telling, present[-1], clean)
+
+        keyed = lambda parsed: F.array(*[
+            F.to_json(F.try_variant_get(parsed, f"$.{key}", "variant")) for key in ERROR_KEYS])
+        from_keys = _once(_once(F.try_parse_json(clean), keyed), told)
+        return F.when(clean.rlike(r"^[\s\x{FEFF}]*\{"), from_keys).otherwise(clean)
+
+    line = F.substring(collapse_ws(_once(redact(body, secrets, pattern), reason)), 1, DETAIL_CHARS)
+    return _once(line, lambda shown: F.when(shown == "", F.lit(NO_REASON)).otherwise(shown))

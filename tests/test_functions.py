@@ -90,3 +90,12 @@ def test_round_exact_is_python_round(spark):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     for r in df.select("v", *[round_exact(F.col("v"), d).alias(f"d{d}") for d in (1, 2, 3)]).collect():
         assert (r.d1, r.d2, r.d3) == (round(r.v, 1), round(r.v, 2), round(r.v, 3)), r.v
+
+
+def test_an_error_body_is_cleaned_and_parsed_once(spark):
+    bodies = [' {"detail":"","message":"a  b"}', '{"error":0,"title":"t"', '"detail"', "[1]", "", None, '\ufeff{"title":"x"}', '{"title":"","detail":null}']
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string").select("i", fx.redacted_detail(F.col("body")).alias("d"))
+    got = [r.d for r in sorted(df.collect())]
+    assert got[:6] == ['"a b"', '{"error":0,"title":"t"', '"detail"', "[1]", "no reason was given", None] and got[7] == '""'
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json(") == 1 and plan.count("regexp_replace(") <= 3
