@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from speechlake.operators.checkpoints import checkpoint_dir
+from speechlake.operators.checkpoints import checkpoint_dir, settle
+from speechlake.operators.turns import build_turns
 from speechlake.operators.units import with_positions
 from speechlake.plans import audits, speech
 from speechlake.plans import corpus as c
@@ -42,9 +43,14 @@ def transcript_files(spark, sf):
                         words.alias("n_words"))
 
 
+def _speakers(spark, sf):
+    """Speakers documents; the aligned units are written once, for the units and for the turns."""
+    units = settle(c.talk_aligned(spark, sf))
+    return docs.speakers_document(_heads(spark, sf), c.in_seconds(units), c.in_seconds(build_turns(units, max_gap=800)))
+
+
 def speakers_files(spark, sf):
-    units = c.in_seconds(c.talk_aligned(spark, sf))
-    found = _as_files(spark, docs.speakers_document(_heads(spark, sf), units, c.in_seconds(c.talk_turns(spark, sf))), SPEAKERS_DDL)
+    found = _as_files(spark, _speakers(spark, sf), SPEAKERS_DDL)
     counted = lambda name: F.when(F.col("parse_ok"), F.size(name)).cast("long").alias(f"n_{name}")
     return found.select("audio_key", "parse_ok", "speaker_scope", counted("units"), counted("turns"), F.element_at("turns", -1)["end"].alias("last_end"))
 
@@ -78,8 +84,7 @@ def diarization_document(spark, sf):
 
 
 def speakers_document(spark, sf):
-    units = c.in_seconds(c.talk_aligned(spark, sf))
-    back = _round_trip(spark, docs.speakers_document(_heads(spark, sf), units, c.in_seconds(c.talk_turns(spark, sf))), ["audio_key"], SPEAKERS_DDL)
+    back = _round_trip(spark, _speakers(spark, sf), ["audio_key"], SPEAKERS_DDL)
     said = F.aggregate("d.units", F.lit(0).cast("long"), lambda n, u: n + F.length(u["text"]) + F.when(u["speaker"] == "UNKNOWN", 0).otherwise(1))
     return back.select("audio_key", "d.audio", "d.speaker_scope", F.size("d.units").cast("long").alias("n_units"), said.alias("unit_sum"),
                        F.posexplode("d.turns").alias("turn_no", "t")).select("*", "t.*").drop("t")

@@ -238,3 +238,11 @@ def test_explode_intervals(spark):
     df = spark.createDataFrame([("a", [(0.0, 1.0, "A"), (1.0, 2.0, "B")])],
                                "audio_key string, exclusive_diarization array<struct<start: double, end: double, speaker: string>>")
     assert [(r.pos, r.speaker) for r in explode_intervals(df).collect()] == [(0, "A"), (1, "B")]
+
+
+def test_speakers_documents_align_once(spark, monkeypatch):
+    from speechlake.plans import results
+
+    calls, real = [], results.c.talk_aligned
+    monkeypatch.setattr(results.c, "talk_aligned", lambda *a: calls.append(a) or real(*a))
+    assert results.speakers_document(spark, "/root/testdata/sf0.001").count() > 0 and len(calls) == 1
