@@ -63,9 +63,9 @@ def words(spark, sf):
     return c.talk_segment_words(spark, sf)
 
 
-def audit_rows(spark, sf):
+def audit_rows(spark, sf, exact=False):
     return ta.audit(audios(spark, sf), heads(spark, sf), segments(spark, sf), words(spark, sf),
-                    listing(spark, sf))
+                    listing(spark, sf), exact)
 
 
 ROUNDED = ("speech_coverage", "mean_word_probability", "median_word_probability",
@@ -92,7 +92,7 @@ def summary(spark, sf):
 
 def report(spark, sf):
     """Totals and the lines of the flagged recordings."""
-    rows = settle(audit_rows(spark, sf))
+    rows = settle(audit_rows(spark, sf, exact=True))
     return sink.audit_report(rows, ta.corpus_summary(rows, words(spark, sf), documents(spark, sf), listing(spark, sf))).withColumn(
         "rank", _six("rank"))
 
