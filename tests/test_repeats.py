@@ -231,6 +231,18 @@ def test_saved_clips(spark, tmp_path, hot_rows):
             spark.sql(f"DROP TABLE IF EXISTS told_{part}")
 
 
+@pytest.mark.parametrize("hot_pairs", [0, 10 ** 9])
+def test_neighbouring_pairs_are_first_and_last_rows(spark, monkeypatch, hot_pairs):
+    """A line that 30 items share is two rows a pair of items, wherever blocks of time cut it; its clusters stay whole."""
+    monkeypatch.setattr(matching, "TIME_CELL", 7)
+    monkeypatch.setattr(matching, "DEAL", 4)
+    rows = [(i, h, 3 * i + h + (200 if h > 12 else 0)) for i in range(30) for h in range(20)]
+    pairs = matching.offset_pairs(spark.createDataFrame(rows, MARK), min_votes=5, hot_pairs=hot_pairs)
+    assert pairs.count() == 435 * 4  # of 435 * 20
+    got = {tuple(r) for r in matching.cluster_votes(pairs, 5, cell=7).select("file_a", "file_b", "offset", "n_hashes", "a_first", "a_last").collect()}
+    assert got == {(a, b, 3 * (a - b), n, 3 * a + s, 3 * a + e) for a in range(30) for b in range(a + 1, 30) for n, s, e in ((13, 0, 12), (7, 213, 219))}
+
+
 def recorded(monkeypatch):
     """Rows of the tables that matching writes."""
     sizes, real = [], matching.settle
