@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from speechlake.functions import text as fx
 from speechlake.functions.acoustics import frames_to_seconds, pack_landmark
 from speechlake.operators import jobs as jb
 from speechlake.operators import payload
-from speechlake.operators.checkpoints import settle
+from speechlake.operators.checkpoints import checkpoint_dir, settle
 from speechlake.operators.naming import name_turns
 from speechlake.operators.turns import build_turns
 from speechlake.operators.units import order_key
@@ -251,16 +253,29 @@ def checked_jobs(spark, sf):
     return _checked_jobs(spark, sf).select("job_id", "accepted", "missing")
 
 
+def _asked(spark, sf, keys):
+    """A folder with the conversations of those recordings; the derivations read it like the whole tables."""
+    folder = f"{checkpoint_dir(spark)}/asked-{uuid.uuid4().hex}"
+    table(spark, sf, "conversations").join(
+        keys.select(F.col("audio_key").alias("conv_id")).distinct(), "conv_id", "left_semi",
+    ).write.parquet(f"{folder}/conversations.parquet")
+    return folder
+
+
 def job_payloads(spark, sf):
-    """Aligned words and turns are written once; both kinds of output read them."""
-    words = settle(c.talk_aligned(spark, sf))
+    """Only recordings that a complete job asks for are read on, by kind of job. Aligned words and turns are written once; both kinds of output read them."""
+    jobs = settle(_checked_jobs(spark, sf).where("accepted"))
+    ready = jobs.where("missing is null")
+    text, who = (F.array_contains("outputs", kind) for kind in ("transcription", "diarization"))
+    both = _asked(spark, sf, ready.where(text & who))
+    words = settle(c.talk_aligned(spark, both))
     said = c.in_seconds(settle(build_turns(words, max_gap=800)))
-    heads = settle(_heads(spark, sf))
+    heads = settle(_heads(spark, both))
     return payload.job_payloads(
-        settle(_checked_jobs(spark, sf).where("accepted")), speech_plain(spark, sf),
+        jobs, speech_plain(spark, _asked(spark, sf, ready.where(text & ~who))),
         payload.transcription_with_speakers(
             heads, said, c.in_seconds(words), SPEECH_MODEL, "es", digits=9),
-        speakers_plain(spark, sf),
+        speakers_plain(spark, _asked(spark, sf, ready.where(who & ~text))),
         payload.diarization_with_transcript(heads, said, SPEAKER_MODEL))
 
 

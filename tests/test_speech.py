@@ -11,6 +11,7 @@ from speechlake.operators.jobs import normalise_jobs, parse_capabilities, resolv
 from speechlake.operators.naming import name_turns
 from speechlake.operators.turns import build_turns
 from speechlake.operators.units import explode_intervals, explode_units
+from speechlake.plans import speech
 from speechlake.sinks import render
 
 UNIT = "audio_key string, seq bigint, start double, end double, text string, probability double"
@@ -246,3 +247,20 @@ def test_speakers_documents_align_once(spark, monkeypatch):
     calls, real = [], results.c.talk_aligned
     monkeypatch.setattr(results.c, "talk_aligned", lambda *a: calls.append(a) or real(*a))
     assert results.speakers_document(spark, "/root/testdata/sf0.001").count() > 0 and len(calls) == 1
+
+
+def test_payloads_read_only_recordings_of_complete_jobs(spark, monkeypatch):
+    sf, seen, real = "/root/testdata/sf0.001", [], speech.settle
+
+    def settle(df):
+        seen.append(real(df))
+        return seen[-1]
+
+    monkeypatch.setattr(speech, "settle", settle)
+    speech.job_payloads(spark, sf)
+    keys = lambda df: {r[0] for r in df.select("audio_key").distinct().collect()}
+    jobs = next(df for df in seen if "missing" in df.columns)
+    both = keys(jobs.where("missing is null and array_contains(outputs, 'transcription') and array_contains(outputs, 'diarization')"))
+    words = next(df for df in seen if "seq_block" in df.columns)
+    assert both and keys(words) == both & keys(speech.c.talk_words(spark, sf))
+    assert len(keys(words)) < len(keys(speech.c.talk_words(spark, sf)))
