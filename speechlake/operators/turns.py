@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from speechlake.functions.rounding import round_exact
 from speechlake.functions.text import collapse_ws, is_blank
-from speechlake.operators.align import UNIT_BLOCK
+from speechlake.operators.align import UNIT_BLOCK, dealt
 from speechlake.operators.blocks import attach_carry, block_order, running_sum
 from speechlake.operators.checkpoints import settle
 
@@ -20,15 +20,14 @@ WIDE = 16  # stretches are re-blocked over this many unit blocks
 def _inside_block(rows: DataFrame, block: str) -> DataFrame:
     """Previous speaker, speaker run and the run's latest earlier end, seen from one block only."""
     order = W.partitionBy("audio_key", block).orderBy("seq")
-    earlier_in_run = (
-        W.partitionBy("audio_key", block, "_run").orderBy("seq")
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
+    earlier = order.rowsBetween(W.unboundedPreceding, -1)
     changed = F.col("_before") != F.col("speaker")
+    # Runs are numbered upwards, so the largest (run, end) so far is of this run, if it has begun: one order serves all windows.
     return (
         rows.withColumn("_before", F.lag("speaker").over(order))
         .withColumn("_run", F.sum(F.when(changed, 1).otherwise(0)).over(order))
-        .withColumn("_reach", F.max("end").over(earlier_in_run))
+        .withColumn("_top", F.max(F.struct("_run", "end")).over(earlier))
+        .withColumn("_reach", F.when(F.col("_top._run") == F.col("_run"), F.col("_top.end"))).drop("_top")
     )
 
 
@@ -78,18 +77,19 @@ def _split_turns(max_gap: float):
     """Exact breaks inside one turn that holds units ending before they start.
 
     Their end can pull a turn's end back, which the running maximum cannot show. It only ever
-    adds breaks inside a turn, so replaying that one turn's own units is exact.
+    adds breaks inside a turn, so replaying that one turn's own units is exact. A stretch without such units has no break
+    inside, so it comes as one unit.
     """
-    piece = "struct<start:{t},end:{t},texts:array<string>>"
+    piece = "struct<start:{t},end:{t},texts:array<string>,n:bigint>"
 
     def step(acc, unit):
         cur = acc["cur"]
         joins = unit["start"] - cur["end"] <= F.lit(max_gap)
         begun = F.struct(unit["start"].alias("start"), unit["end"].alias("end"),
-                         F.array(unit["text"]).alias("texts"))
+                         F.array(unit["text"]).alias("texts"), unit["n"].alias("n"))
         grown = F.struct(cur["start"].alias("start"),
                          F.greatest(cur["end"], unit["end"]).alias("end"),
-                         F.concat(cur["texts"], F.array(unit["text"])).alias("texts"))
+                         F.concat(cur["texts"], F.array(unit["text"])).alias("texts"), (cur["n"] + unit["n"]).alias("n"))
         return F.when(cur.isNull(), F.struct(acc["done"].alias("done"), begun.alias("cur"))).when(
             joins, F.struct(acc["done"].alias("done"), grown.alias("cur"))
         ).otherwise(F.struct(F.concat(acc["done"], F.array(cur)).alias("done"), begun.alias("cur")))
@@ -115,16 +115,22 @@ def build_turns(
     Blank units are dropped before anything else. A turn ends at a speaker change or when the
     next unit starts more than ``max_gap`` after the latest end so far. Units are ordered by
     ``seq``, not by time. Times in fractions of seconds come out rounded to ``digits``. Runs a job: stretches are written once to the shared folder, and the
-    passes that stitch them read only their times.
+    passes that stitch them read only their times. The text of a stretch is joined before it is written; only stretches with units that end
+    before they start keep their units apart.
     """
     time_type = dict(aligned.dtypes)["end"]
     if "seq_block" not in aligned.columns:
         aligned = aligned.withColumn("seq_block", F.floor(F.col("seq") / F.lit(block_rows)))
-    units = aligned.where(~is_blank(F.col("text"))).select(
+    units = dealt(aligned.where(~is_blank(F.col("text"))).select(
         "audio_key", "seq_block", "seq", "start", "end", "text", "speaker"
-    )
+    ), "audio_key", "seq_block")
     # Stretches: turns as seen inside one block. No shuffle, and far fewer rows come out.
     in_block = W.partitionBy("audio_key", "seq_block").orderBy("seq")
+    listed = F.transform("_units", lambda x: F.struct(
+        x["seq"].alias("seq"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text"), F.lit(1).cast("bigint").alias("n")))
+    joined = F.array(F.struct(
+        F.col("_units")[0]["seq"].alias("seq"), F.col("_units")[0]["start"].alias("start"), F.col("end"),
+        F.array_join(F.transform("_units", lambda x: x["text"]), "").alias("text"), F.size("_units").cast("bigint").alias("n")))
     stretches = (
         _inside_block(units, "seq_block")
         .withColumn("_stretch", F.sum(_is_break(max_gap).cast("int")).over(in_block))
@@ -135,25 +141,23 @@ def build_turns(
             F.max(F.col("end") < F.col("start") - F.lit(max_gap)).alias("_backward"),
         )
         .select(
-            "audio_key", "speaker", "end", "_units", "_backward",
+            "audio_key", "speaker", "end", F.when(F.col("_backward"), listed).otherwise(joined).alias("_units"), "_backward",
             F.col("_units")[0]["seq"].alias("seq"), F.col("_units")[0]["start"].alias("start"),
         )
     )
     stretches = settle(stretches)
     # Stitch stretches that continue over a block border; only times and speakers take part.
-    outline = (
+    outline = dealt(
         stretches.select("audio_key", "seq", "start", "end", "speaker")
-        .withColumn("_wide_block", F.floor(F.col("seq") / F.lit(block_rows * WIDE)))
-        .repartition("audio_key", "_wide_block")
-    )
+        .withColumn("_wide_block", F.floor(F.col("seq") / F.lit(block_rows * WIDE))),
+        "audio_key", "_wide_block")
     outline = _across_blocks(_inside_block(outline, "_wide_block"), "_wide_block")
     outline = running_sum(
         outline, ["audio_key"], ["seq"], _is_break(max_gap).cast("bigint"), "_turn", "_wide_block"
     ).select("audio_key", "seq", "_turn")
     turns = (
-        stretches.join(outline, ["audio_key", "seq"])
-        .withColumn("_turn_block", F.floor(F.col("_turn") / F.lit(turn_block)))
-        .repartition("audio_key", "_turn_block")
+        dealt(stretches.join(outline, ["audio_key", "seq"])
+              .withColumn("_turn_block", F.floor(F.col("_turn") / F.lit(turn_block))), "audio_key", "_turn_block")
         .groupBy("audio_key", "_turn_block", "_turn", "speaker")
         .agg(
             F.array_sort(F.flatten(F.collect_list("_units"))).alias("_units"),
@@ -164,6 +168,7 @@ def build_turns(
     whole = F.array(F.struct(
         F.col("_units")[0]["start"].alias("start"), F.col("_end").alias("end"),
         F.transform("_units", lambda x: x["text"]).alias("texts"),
+        F.aggregate("_units", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"]).alias("n"),
     ))
     pieces = F.when(F.col("_backward"), _split_turns(max_gap)(time_type)).otherwise(whole)
     turns = turns.select(
@@ -186,5 +191,5 @@ def build_turns(
         shown("p.end").alias("end"),
         "speaker",
         collapse_ws(F.array_join("p.texts", "")).alias("text"),
-        F.size("p.texts").cast("bigint").alias("unit_count"),
+        F.col("p.n").alias("unit_count"),
     )

@@ -5,8 +5,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from speechlake.operators import payload
+from speechlake.operators import payload, turns
 from speechlake.operators.align import assign_speaker
+from speechlake.operators.checkpoints import settle
 from speechlake.operators.jobs import normalise_jobs, parse_capabilities, resolve_outputs
 from speechlake.operators.naming import name_turns
 from speechlake.operators.turns import build_turns
@@ -264,3 +265,37 @@ def test_payloads_read_only_recordings_of_complete_jobs(spark, monkeypatch):
     words = next(df for df in seen if "seq_block" in df.columns)
     assert both and keys(words) == both & keys(speech.c.talk_words(spark, sf))
     assert len(keys(words)) < len(keys(speech.c.talk_words(spark, sf)))
+
+
+def test_texts_move_once_until_their_stretches_are_joined(spark, monkeypatch):
+    """Words move to their place in one exchange, and are one text a stretch when they are written; before, they moved twice and stayed apart."""
+    import re
+
+    talk = random_talk(5)
+    units, spans = frames(spark, {"a": talk})
+    written = []
+    monkeypatch.setattr(turns, "settle", lambda df: written.append(settle(df)) or written[-1])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        aligned = assign_speaker(units, spans)
+        plan = spark._jvm.PythonSQLUtils.explainString(aligned._jdf.queryExecution(), "formatted")
+        moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+        assert sum("text#" in columns for columns in moved) == 1
+        assert build_turns(aligned).count() > 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    spoken = sum(bool(text.strip()) for _, _, text in talk[0])
+    assert sum(u["n"] for r in written[0].collect() for u in r["_units"]) == spoken
+    assert all(len(r["_units"]) == 1 for r in written[0].collect())
+
+
+def test_reversed_unit_next_to_joined_stretches(spark):
+    """A turn over several blocks, one of whose stretches holds a unit that ends before it starts."""
+    rows = [(0.0, 9.0), (1.0, 1.5), (2.0, 2.5), (9.5, 4.0), (9.6, 9.7), (12.0, 12.5), (12.6, 13.0), (13.1, 20.0), (14.0, 14.2)]
+    aligned = spark.createDataFrame([("a", i, s, e, " w", "A") for i, (s, e) in enumerate(rows)],
+                                    "audio_key string, seq bigint, start double, end double, text string, speaker string")
+    want = model_turns([(s, e, "A", " w") for s, e in rows])
+    for block_rows in (2, 3, 4, 100):
+        got = build_turns(aligned, block_rows=block_rows).orderBy("turn_no").collect()
+        assert [(r["start"], r["end"], r["speaker"], r["text"], r["unit_count"]) for r in got] == want
