@@ -202,6 +202,29 @@ def test_incremental_matches_whatever_is_hot(spark, hot_pairs):
     assert sorted(want) == sorted(got.select(*want[0].__fields__).collect())
 
 
+@pytest.mark.parametrize("hot_pairs", [1, 40, 10**9])
+@pytest.mark.parametrize("kept", [1, 3])
+def test_late_items_meet_the_known_ones_whatever_is_hot(spark, hot_pairs, kept):
+    """Two tables in order: the last arrivals against all, or against a part of the landmarks that leaves gaps in lines."""
+    rows = [(i, h % 9, t, (i * 7) % 24) for i, h, t in random_marks(8)]
+    late, known = [r for r in rows if r[3] >= 16], [r for k, r in enumerate(rows) if kept == 1 or k % kept]
+    pairs = defaultdict(list)
+    for a, h, t, arrived in late:
+        for b, g, s, before in known:
+            if h == g and before < arrived:
+                pairs[a, b, t - s].append(t)
+    df, held = (spark.createDataFrame(r, MARK + ", arrival bigint") for r in (late, known))
+    got = matching.count_votes(matching.offset_pairs(*[
+        x.select((-F.col("arrival")).alias("item"), "hash", "t") for x in (df, held)], 3, hot_pairs, ordered=True), 3)
+    number = {i: -n for i, _, _, n in rows}
+    assert {(r.file_a, r.file_b, r.offset): r.votes for r in got.collect()} == {
+        (number[a], number[b], o): len(ts) for (a, b, o), ts in pairs.items() if len(ts) >= 3}
+    plain = spark.createDataFrame([(*k, t) for k, ts in pairs.items() for t in ts], "file_a bigint, file_b bigint, offset bigint, ta bigint")
+    want = matching.cluster_votes(plain, 3)
+    found = matching.incremental_matches(df, 3, hot_pairs, known=held).select(*want.columns).collect()
+    assert found and sorted(found) == sorted(want.collect())
+
+
 @pytest.mark.parametrize("hot_rows", [5, 10**9])
 def test_saved_clips(spark, tmp_path, hot_rows):
     captures = spark.createDataFrame([(i, h % 11, t) for i, h, t in random_marks(6)], MARK)
