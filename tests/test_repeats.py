@@ -288,6 +288,20 @@ def test_captures_under_unknown_hashes_are_not_moved(spark, monkeypatch):
     assert max(sizes) == 120  # of 1,200
 
 
+def test_captures_stay_where_they_are_when_many_clips_share_few_hashes(spark):
+    """The size of the list of hashes decides whether it is broadcast, not that of the clip table."""
+    rng = random.Random(5)
+    clips = matching.settle(spark.createDataFrame([(i, h, rng.randrange(10 ** 12)) for i in range(400) for h in range(40)], MARK))
+    captures = spark.createDataFrame([(1, h, h) for h in range(400)], MARK)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+    try:
+        kept = matching._under_known(captures, clips)
+        assert "BroadcastHashJoin" in kept._jdf.queryExecution().sparkPlan().toString()
+        assert kept.count() == 40
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_samples_of_common_text_hashes(spark, monkeypatch):
     """Beyond several stretches, against a plain loop; hashes that occur once are not written."""
     import hashlib
