@@ -321,3 +321,42 @@ def test_samples_of_common_text_hashes(spark, monkeypatch):
     table = spark.createDataFrame(rows, "item bigint, hash string, t bigint")
     assert sorted(tuple(r) for r in matching.sampled_pairs(table).collect()) == sorted(want)
     assert max(sizes, default=0) == n
+
+
+def above_the_exchange(df):
+    """The steps of the first plan above its topmost exchange."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    return lines[:next(i for i, line in enumerate(lines) if "Exchange" in line)]
+
+
+@pytest.mark.parametrize("hot_pairs", [0, 40, 10 ** 9])
+def test_pairs_are_made_and_counted_in_one_place(spark, monkeypatch, hot_pairs):
+    """Landmarks go to cells of items; votes of their pairs are counted and cut there, however many cells there are."""
+    monkeypatch.setattr(matching, "DEAL", 8)
+    rows = random_marks(11)
+    marks, want = spark.createDataFrame(rows, MARK), votes_of(brute_pairs(rows), 6)
+    pairs = matching.offset_pairs(marks, min_votes=6, hot_pairs=hot_pairs)
+    votes = matching.count_votes(pairs, 6)
+    for found in (votes, matching.cluster_votes(pairs, 6)):
+        assert sum("Generate" in line for line in above_the_exchange(found)) >= 2
+    assert {(r.file_a, r.file_b, r.offset): r.votes for r in votes.collect()} == want
+    assert pairs.select("cell").distinct().count() > 20
+    plain = matching.cluster_votes(matching.landmark_pairs(marks), 6)
+    assert sorted(matching.cluster_votes(pairs, 6).collect()) == sorted(plain.collect())
+
+
+def test_stretches_are_one_row_only_where_they_always_stand_together(spark):
+    """2 stands alone in item 4, so 1 2 3 stay apart; 5 6 become one over 78 frames, 7 8 do not over 79; repeated landmarks stay apart."""
+    rows = [(i, h, 10 * i + h) for i in (1, 2, 3) for h in (1, 2, 3)] + [(4, 2, 0)]
+    rows += [(i, h, 500 + i + 78 * (h - 5)) for i in (1, 2) for h in (5, 6)] + [(i, h, 900 + i + 79 * (h - 7)) for i in (1, 2) for h in (7, 8)]
+    rows += [(i, h, 2000 + h) for i in (1, 2) for h in (20, 20, 21)]
+    marks = spark.createDataFrame(rows, MARK).withColumn("_rank", F.col("item")).withColumn("_side", F.lit(0))
+    counted = marks.groupBy("hash").agg(F.count(F.lit(1)).alias("_all"))
+    found = {(r.item, r.hash, r.t, r.till, r["size"], r.n): (r._i, r._pre, r._post) for r in matching._stretches(marks.join(counted, "hash")).collect()}
+    want = {(i, 1, 10 * i + 1, 10 * i + 1, 1, 1) for i in (1, 2, 3)}
+    want |= {(i, h, 10 * i + h, 10 * i + h, 1, 1) for i in (1, 2, 3) for h in (2, 3)} | {(4, 2, 0, 0, 1, 1)}
+    want |= {(i, 5, 500 + i, 578 + i, 2, 1) for i in (1, 2)} | {(i, h, 900 + i + 79 * (h - 7), 900 + i + 79 * (h - 7), 1, 1) for i in (1, 2) for h in (7, 8)}
+    want |= {(i, 20, 2020, 2020, 1, 2) for i in (1, 2)} | {(i, 21, 2021, 2021, 1, 1) for i in (1, 2)}
+    assert set(found) == want
+    assert [found[i, 2, 10 * i + 2, 10 * i + 2, 1, 1][0] for i in (1, 2, 3)] == [2, 2, 2]
+    assert len({found[i, 2, 10 * i + 2, 10 * i + 2, 1, 1][1:] for i in (1, 2, 3)}) == 1 and found[4, 2, 0, 0, 1, 1][1:] == (0, 0)
