@@ -360,3 +360,30 @@ def test_stretches_are_one_row_only_where_they_always_stand_together(spark):
     assert set(found) == want
     assert [found[i, 2, 10 * i + 2, 10 * i + 2, 1, 1][0] for i in (1, 2, 3)] == [2, 2, 2]
     assert len({found[i, 2, 10 * i + 2, 10 * i + 2, 1, 1][1:] for i in (1, 2, 3)}) == 1 and found[4, 2, 0, 0, 1, 1][1:] == (0, 0)
+
+
+def test_edges_shrink_from_round_to_round(spark, monkeypatch):
+    """Cliques become single nodes in the first round; their edges are not carried through the others."""
+    sizes, real = [], groups.settle
+
+    def settle(df):
+        out = real(df)
+        if out.columns == ["src", "dst"]:
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(groups, "settle", settle)
+    edges = [(100 * k + i, 100 * k + j) for k in range(8) for i in range(20) for j in range(i)] + [(100 * k + 19, 100 * k + 119) for k in range(7)]
+    got = groups.connected_components(spark.createDataFrame(edges, "src bigint, dst bigint")).collect()
+    assert {r.node: r.component for r in got} == {100 * k + i: 0 for k in range(8) for i in range(20)}
+    assert sizes[0] == 8 * 190 + 7 and len(sizes) <= 3 and sum(sizes[1:]) <= 7
+
+
+def test_occurrences_of_one_name_are_one_node(spark):
+    """Times that differ but agree to a tenth of a second link their groups; the earliest is kept; a node is named once."""
+    rows = [("a", "b", 1.0, 2.0, 1.0, 2.0), ("c", "d", 5.0, 6.0, 7.0, 8.0), ("c", "b", 5.04, 6.04, 0.96, 2.04), ("e", "f", 0.0, 1.0, 3.0, 4.0)]
+    df = spark.createDataFrame(rows, "file_a string, file_b string, a_start_s double, a_end_s double, b_start_s double, b_end_s double")
+    got = {tuple(r) for r in groups.group_occurrences(df).select("component", "node", "file_id", "start_s", "end_s").collect()}
+    one = "a|1.0|2.0"
+    assert got == {(one, one, "a", 1.0, 2.0), (one, "b|1.0|2.0", "b", 0.96, 2.04), (one, "c|5.0|6.0", "c", 5.0, 6.0), (one, "d|7.0|8.0", "d", 7.0, 8.0),
+                   ("e|0.0|1.0", "e|0.0|1.0", "e", 0.0, 1.0), ("e|0.0|1.0", "f|3.0|4.0", "f", 3.0, 4.0)}
