@@ -387,3 +387,13 @@ def test_occurrences_of_one_name_are_one_node(spark):
     one = "a|1.0|2.0"
     assert got == {(one, one, "a", 1.0, 2.0), (one, "b|1.0|2.0", "b", 0.96, 2.04), (one, "c|5.0|6.0", "c", 5.0, 6.0), (one, "d|7.0|8.0", "d", 7.0, 8.0),
                    ("e|0.0|1.0", "e|0.0|1.0", "e", 0.0, 1.0), ("e|0.0|1.0", "f|3.0|4.0", "f", 3.0, 4.0)}
+
+
+def test_texts_under_other_hashes_do_not_move(spark):
+    """All keys are found, few others pass, and they are picked below the only exchange."""
+    words = spark.range(20_000).select(F.concat(F.lit("w "), "id").alias("hash"))
+    keys = matching.settle(words.where("hash like 'w 7%'").select(F.xxhash64("hash").alias("hash")))
+    found = matching._texts(words, keys)
+    assert not any("Join" in line for line in above_the_exchange(found))
+    assert keys.join(found, "hash").select("_text").distinct().count() == keys.count() == 1111
+    assert found.count() < 1111 + 0.1 * 20_000
