@@ -397,3 +397,16 @@ def test_texts_under_other_hashes_do_not_move(spark):
     assert not any("Join" in line for line in above_the_exchange(found))
     assert keys.join(found, "hash").select("_text").distinct().count() == keys.count() == 1111
     assert found.count() < 1111 + 0.1 * 20_000
+
+
+def test_ties_of_strength_spread_over_tasks_in_a_fixed_order(spark):
+    rows = [(a, a + 1, 0, 8 if a % 50 else 9, 0, 7, 0, 7) for a in range(4000)]
+    ddl = "file_a bigint, file_b bigint, offset bigint, n_hashes bigint, a_first bigint, a_last bigint, b_first bigint, b_last bigint"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = matching.strongest_first(spark.createDataFrame(rows[::-1], ddl).repartition(4))
+        assert [tuple(r) for r in found.collect()] == sorted(rows, key=lambda r: (-r[3], r))
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
